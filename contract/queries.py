@@ -39,6 +39,7 @@ from ingotflow.sources.tables import (
 )
 from ingotflow.sources.topic import read_topic_files
 from ingotflow.storage import scratch_dir
+from ingotflow.streaming.sinks import FLUSH_ROWS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +49,7 @@ ORACLES: dict[str, str] = {}
 SILVER_DB, GOLD_DB = "contract_silver", "contract_gold"
 KEYS = ["order_id", "order_timestamp", *TIES]
 BATCHES = ("F", "O")  # line_status splits the rows into two arrivals
+SPLIT_BYTES = 128 * 1024 * 1024
 POSITION = ["_kafka_partition", "_kafka_offset", "_kafka_timestamp"]
 
 
@@ -323,10 +325,15 @@ def _decimal_event() -> T.StructType:
 
 def _landed(spark: SparkSession, sf_dir: str, amount: str = "double") -> str:
     path = scratch_dir(spark, "landing")
-    order_view(spark, sf_dir, amount=amount).write.parquet(path)
+    _land(order_view(spark, sf_dir, amount=amount), path)
     return path
 
 
+def _land(orders: DataFrame, path: str) -> None:
+    """Landed files hold at most one flush of rows, as those of the stream do."""
+    orders.write.mode("append").option("maxRecordsPerFile", FLUSH_ROWS).parquet(path)
+
+
 @query(f"WITH orders_once AS ({order_sql(amount='double')}) SELECT {', '.join(EVENT_COLUMNS)} "
        f"FROM (SELECT * FROM orders_once UNION ALL SELECT * FROM orders_once)")
 def bronze_append(spark, sf_dir):
@@ -368,14 +375,20 @@ def compaction(spark, sf_dir):
 
 # -- topic, landing, decode ------------------------------------------------------------------
 
-def _messages(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
-    """The order view as framed topic rows, at the position of their line."""
+def _orders(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
     orders = order_view(spark, sf_dir, [*STREAMED, "line_status"], amount="double")
-    if status is not None:
-        orders = orders.filter(F.col("line_status") == status)
+    return orders if status is None else orders.filter(F.col("line_status") == status)
+
+
+def _as_topic_rows(orders: DataFrame) -> DataFrame:
+    """Orders as framed topic rows, at the position of their line."""
     return as_messages(orders, F.col("line_number"), F.col("order_key"), F.col("order_timestamp"))
 
 
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_topic_rows(_orders(spark, sf_dir))
+
+
 def _event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as framed topic rows, at their own time."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -456,15 +469,24 @@ def flatten_record(spark, sf_dir):
 
 # -- streaming -------------------------------------------------------------------------------
 
+def _publish(spark: SparkSession, sf_dir: str, topic: str, status: str | None = None) -> None:
+    """Write messages spread by key, as over a topic's partitions, in files of one flush of rows."""
+    spread = _orders(spark, sf_dir, status).repartition("order_id")
+    (_as_topic_rows(spread).write.mode("append").option("maxRecordsPerFile", FLUSH_ROWS)
+     .parquet(topic))
+
+
 def _streamed(spark: SparkSession, base: str, checkpoint: str = "checkpoint") -> str:
-    jobs.topic_to_bronze(read_topic_files(spark, f"{base}/topic", max_files=4), f"{base}/bronze",
-                         f"{base}/{checkpoint}")
+    """Stream the topic to bronze, a micro-batch being one scan split for every task slot."""
+    batch_bytes = spark.sparkContext.defaultParallelism * SPLIT_BYTES
+    jobs.topic_to_bronze(read_topic_files(spark, f"{base}/topic", max_bytes=batch_bytes),
+                         f"{base}/bronze", f"{base}/{checkpoint}", optimize_write=False)
     return f"{base}/bronze"
 
 
 def _topic(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_dir(spark, "stream")
-    _messages(spark, sf_dir).write.parquet(f"{base}/topic")
+    _publish(spark, sf_dir, f"{base}/topic")
     return base
 
 
@@ -484,7 +506,7 @@ def stream_incremental(spark, sf_dir):
     counts = []
     for run, status in enumerate([*BATCHES, None], start=1):
         if status is not None:
-            _messages(spark, sf_dir, status).write.mode("append").parquet(f"{base}/topic")
+            _publish(spark, sf_dir, f"{base}/topic", status)
         # Counted at once: scans of one directory compare equal, so Spark would run only one of them.
         counts.append((run, read_bronze_stream(spark, _streamed(spark, base)).count()))
     return spark.createDataFrame(counts, "run int, row_count bigint")
@@ -573,8 +595,8 @@ def _file_silver(spark: SparkSession, sf_dir: str, base: str) -> str:
     """Two arrivals of landed files, each taken through bronze into silver."""
     for status in BATCHES:
         arrived = order_view(spark, sf_dir, [*EVENT_COLUMNS, "line_status"], amount="double")
-        (arrived.filter(F.col("line_status") == status).drop("line_status")
-         .write.mode("append").parquet(f"{base}/landing"))
+        _land(arrived.filter(F.col("line_status") == status).drop("line_status"),
+              f"{base}/landing")
         jobs.landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze")
         jobs.bronze_to_silver(spark, f"{base}/bronze", f"{base}/silver", "file")
     return f"{base}/silver"
@@ -582,7 +604,7 @@ def _file_silver(spark: SparkSession, sf_dir: str, base: str) -> str:
 
 def _stream_silver(spark: SparkSession, sf_dir: str, base: str) -> str:
     for status in BATCHES:
-        _messages(spark, sf_dir, status).write.mode("append").parquet(f"{base}/topic")
+        _publish(spark, sf_dir, f"{base}/topic", status)
         bronze = _streamed(spark, base)
         jobs.bronze_to_silver(spark, bronze, f"{base}/silver", "stream")
     return f"{base}/silver"

@@ -32,6 +32,8 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--max-offsets", type=int, default=MAX_OFFSETS_PER_TRIGGER)
         sub.add_argument("--processing-time",
                          help="run on at this interval instead of taking what there is")
+        sub.add_argument("--optimize-write", action=argparse.BooleanOptionalAction, default=True,
+                         help="size each micro-batch's files, for one shuffle of its rows")
         if target == "landing":
             sub.add_argument("--max-records-per-file", type=int, default=FLUSH_ROWS)
 
@@ -51,10 +53,11 @@ def run(args: argparse.Namespace) -> None:
             messages = read_topic(spark, args.servers, args.topic, args.max_offsets)
             if args.job == "topic-to-landing":
                 jobs.topic_to_landing(messages, args.landing, args.checkpoint, schema,
-                                      args.processing_time, args.max_records_per_file)
+                                      args.processing_time, args.max_records_per_file,
+                                      args.optimize_write)
             else:
                 jobs.topic_to_bronze(messages, args.bronze, args.checkpoint, schema,
-                                     args.processing_time)
+                                     args.processing_time, args.optimize_write)
         elif args.job == "landing-to-bronze":
             jobs.landing_to_bronze(spark, args.landing, args.bronze)
         elif args.job == "bronze-to-silver":

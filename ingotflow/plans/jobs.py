@@ -45,11 +45,12 @@ TIMESTAMP = "order_timestamp"
 
 def topic_to_landing(messages: DataFrame, landing: str, checkpoint: str,
                      schema_json: str = ORDER_SCHEMA_JSON, processing_time: str | None = None,
-                     max_records_per_file: int = FLUSH_ROWS) -> StreamingQuery:
+                     max_records_per_file: int = FLUSH_ROWS,
+                     optimize_write: bool = True) -> StreamingQuery:
     """Decode a stream of topic rows and land it by the hour."""
     parsed = parse_messages(messages, schema_json)
     return run_to_end(start_landing(
-        parsed, landing, checkpoint, processing_time, max_records_per_file))
+        parsed, landing, checkpoint, processing_time, max_records_per_file, optimize_write))
 
 
 def topic_to_bronze(messages: DataFrame, bronze: str, checkpoint: str,

@@ -30,7 +30,7 @@ def read_topic(spark: SparkSession, servers: str, topic: str,
 
 
 def read_topic_files(spark: SparkSession, path: str, max_files: int | None = None,
-                     max_bytes: str | None = None) -> DataFrame:
+                     max_bytes: int | None = None) -> DataFrame:
     """The same rows from Parquet files of the topic's seven columns, new files as they appear.
 
     ``max_files`` or ``max_bytes`` limits a micro-batch as ``maxOffsetsPerTrigger`` does for a
