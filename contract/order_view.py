@@ -52,6 +52,7 @@ TIMES = {
     "duckdb": "TIMESTAMP '2024-01-01' + "
               "to_seconds(1440 * datediff('day', TIMESTAMP '1995-01-01', l_shipdate))",
 }
+SPLIT_BYTES = 128 * 1024 * 1024
 # Rows of one order_id and time differ in nothing that these three columns do not decide.
 TIES = ["product_id", "quantity", "total_amount"]
 JOINS = [
@@ -79,12 +80,23 @@ def _projection(columns: Sequence[str], engine: str, amount: str) -> list[str]:
 def order_view(spark: SparkSession, sf_dir: str, columns: Sequence[str] = EVENT_COLUMNS,
                amount: str = "decimal") -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = table(spark, sf_dir, "lineitem")
+    df = _spread(table(spark, sf_dir, "lineitem"))
     for name, left, right in _joins(columns):
         df = df.join(table(spark, sf_dir, name), F.col(left) == F.col(right))
     return df.selectExpr(*_projection(columns, "spark", amount))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Use every task slot for a table too small to give each of them a scan split.
+
+    A row group is never split, so a small file is one task. Above one split per slot, as Spark
+    estimates the scan, this adds no shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    scanned = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df if scanned > slots * SPLIT_BYTES else df.repartition(slots, "l_orderkey")
+
+
 def order_sql(columns: Sequence[str] = EVENT_COLUMNS, amount: str = "decimal") -> str:
     joins = " ".join(f"JOIN {name} ON {left} = {right}" for name, left, right in _joins(columns))
     return f"SELECT {', '.join(_projection(columns, 'duckdb', amount))} FROM lineitem {joins}"

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contract.framing import as_messages
-from contract.order_view import TIES, latest_sql, order_sql, order_view, silver_sql, table
+from contract.order_view import (
+    SPLIT_BYTES,
+    TIES,
+    latest_sql,
+    order_sql,
+    order_view,
+    silver_sql,
+    table,
+)
 from ingotflow.functions.columns import HOUR_BUCKET
 from ingotflow.functions.framing import strip_header
 from ingotflow.operators import gold, profiles, quality
@@ -49,7 +57,6 @@ ORACLES: dict[str, str] = {}
 SILVER_DB, GOLD_DB = "contract_silver", "contract_gold"
 KEYS = ["order_id", "order_timestamp", *TIES]
 BATCHES = ("F", "O")  # line_status splits the rows into two arrivals
-SPLIT_BYTES = 128 * 1024 * 1024
 POSITION = ["_kafka_partition", "_kafka_offset", "_kafka_timestamp"]
 
 
