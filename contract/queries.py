@@ -350,6 +350,17 @@ def bronze_append(spark, sf_dir):
     return read_bronze_file(spark, bronze).select(*EVENT_COLUMNS)
 
 
+@query(order_sql(amount="double"))
+def bronze_append_new(spark, sf_dir):
+    base = scratch_dir(spark, "bronze")
+    for status in (*BATCHES, None):
+        if status is not None:
+            _land(_orders(spark, sf_dir, status).select(*EVENT_COLUMNS), f"{base}/landing")
+        jobs.new_landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze",
+                                   f"{base}/checkpoint", compact=False)
+    return read_bronze_file(spark, f"{base}/bronze").select(*EVENT_COLUMNS)
+
+
 @query("SELECT count(*) AS row_count, count(*) AS with_time, count(*) AS with_file, "
        "1 AS batches, count(*) AS with_date FROM lineitem")
 def bronze_metadata_file(spark, sf_dir):

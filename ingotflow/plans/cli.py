@@ -37,7 +37,8 @@ def parser() -> argparse.ArgumentParser:
         if target == "landing":
             sub.add_argument("--max-records-per-file", type=int, default=FLUSH_ROWS)
 
-    command("landing-to-bronze", "append landed files to bronze", "landing", "bronze")
+    sub = command("landing-to-bronze", "append landed files to bronze", "landing", "bronze")
+    sub.add_argument("--checkpoint", help="remember files here and append only new ones")
     sub = command("bronze-to-silver", "upsert bronze into silver", "bronze", "silver")
     sub.add_argument("--profile", choices=sorted(jobs.PROFILES), default="file")
     sub.add_argument("--since", type=date.fromisoformat, help="first ingestion date to read")
@@ -58,6 +59,8 @@ def run(args: argparse.Namespace) -> None:
             else:
                 jobs.topic_to_bronze(messages, args.bronze, args.checkpoint, schema,
                                      args.processing_time, args.optimize_write)
+        elif args.job == "landing-to-bronze" and args.checkpoint:
+            jobs.new_landing_to_bronze(spark, args.landing, args.bronze, args.checkpoint)
         elif args.job == "landing-to-bronze":
             jobs.landing_to_bronze(spark, args.landing, args.bronze)
         elif args.job == "bronze-to-silver":

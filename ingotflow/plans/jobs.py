@@ -28,14 +28,21 @@ from ingotflow.sinks.bronze import append_bronze, compact_bronze
 from ingotflow.sinks.catalog import create_databases, register_silver
 from ingotflow.sinks.gold import build_table
 from ingotflow.snapshots import MergeResult
-from ingotflow.sources.landing import read_landing
+from ingotflow.sources.landing import read_landing, read_landing_stream
 from ingotflow.sources.tables import (
+    bronze_table,
     read_bronze_file,
     read_bronze_stream,
     read_named,
     silver_table,
 )
-from ingotflow.streaming.sinks import FLUSH_ROWS, run_to_end, start_bronze, start_landing
+from ingotflow.streaming.sinks import (
+    FLUSH_ROWS,
+    run_to_end,
+    start_append,
+    start_bronze,
+    start_landing,
+)
 
 logger = logging.getLogger(__name__)
 
@@ -71,6 +78,18 @@ def landing_to_bronze(spark: SparkSession, landing: str, bronze: str,
     return batch_id
 
 
+def new_landing_to_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
+                          batch_id: str | None = None, max_bytes: int | None = None,
+                          compact: bool = True) -> str:
+    """Append only the files landed since the checkpoint's last run, each of them once."""
+    batch_id = batch_id or str(uuid.uuid4())
+    landed = add_file_metadata(read_landing_stream(spark, landing, max_bytes=max_bytes), batch_id)
+    run_to_end(start_append(landed, bronze_table(spark, bronze), checkpoint))
+    if compact and bronze_table(spark, bronze).exists():
+        compact_bronze(spark, bronze)
+    return batch_id
+
+
 def tie_breakers(*metadata: Column) -> list[Column]:
     """An order for records of one key and time: by content, then by ingest metadata.
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from datetime import date
 from typing import NamedTuple
 
@@ -51,6 +51,7 @@ class Snapshot:
     schema: T.StructType
     pieces: dict[str, list[Piece]]  # partition directory name -> where its rows lie
     unique_key: str | None = None
+    streams: dict[str, int] = field(default_factory=dict)  # query id -> last micro-batch appended
 
 
 class MergeResult(NamedTuple):
@@ -87,14 +88,14 @@ class SnapshotTable:
         return Snapshot(version, T.StructType.fromJson(record["schema"]),
                         {p: [Piece(*piece) for piece in pieces]
                          for p, pieces in record["pieces"].items()},
-                        record["unique_key"])
+                        record["unique_key"], record.get("streams", {}))
 
     def _snapshot_path(self, version: int) -> str:
         return f"{self.root}/snapshots/{version:08d}.json"
 
     def _publish(self, snapshot: Snapshot) -> Snapshot:
         record = {"schema": snapshot.schema.jsonValue(), "unique_key": snapshot.unique_key,
-                  "pieces": {p: pieces for p, pieces in snapshot.pieces.items() if pieces}}
+                  "streams": snapshot.streams, "pieces": {p: pieces for p, pieces in snapshot.pieces.items() if pieces}}
         storage.write_new_text(
             self.spark, self._snapshot_path(snapshot.version), json.dumps(record))
         return snapshot
@@ -150,17 +151,28 @@ class SnapshotTable:
             versions[-1] + 1 if versions else 0, _nullable(df.schema),
             {p: [piece] for p, piece in written.items()}, unique_key))
 
-    def append(self, df: DataFrame, rebalance: bool = False) -> Snapshot:
-        """Add rows; creates the table when there is none."""
+    def append(self, df: DataFrame, rebalance: bool = False,
+               micro_batch: tuple[str, int] | None = None) -> Snapshot:
+        """Add rows; creates the table when there is none.
+
+        ``micro_batch`` is a streaming query's id and batch number: the snapshot records it, so a
+        batch that is run again after its rows were published adds nothing.
+        """
         versions = self.versions()
         if versions:
             current = self.snapshot(versions[-1])
             require_same_columns(self._scan(current.schema, {}), df)
         else:
             current = Snapshot(-1, _nullable(df.schema), {})
+        streams = current.streams
+        if micro_batch is not None:
+            query, batch = micro_batch
+            if streams.get(query, -1) >= batch:
+                return current
+            streams = {**streams, query: batch}
         written = self._write(df.select(*current.schema.names), rebalance)
         return self._publish(replace(
-            current, version=current.version + 1, unique_key=None,
+            current, version=current.version + 1, unique_key=None, streams=streams,
             pieces=_joined(current.pieces, {p: [piece] for p, piece in written.items()})))
 
     def merge(self, source: DataFrame, key: str, timestamp: str,

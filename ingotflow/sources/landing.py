@@ -1,4 +1,4 @@
-"""Landed Parquet files."""
+"""Landed Parquet files, all of them or the new ones."""
 
 from __future__ import annotations
 
@@ -14,3 +14,12 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType = EVENT) -
     The schema is given, so no footer is read to infer it.
     """
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
+def read_landing_stream(spark: SparkSession, path: str, schema: T.StructType = EVENT,
+                        max_bytes: int | None = None) -> DataFrame:
+    """The same files as a stream: a query's checkpoint remembers which it has read."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(path)

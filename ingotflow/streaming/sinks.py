@@ -19,12 +19,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ingotflow.functions.columns import HOUR_BUCKET, hour_bucket
 from ingotflow.schemas import EVENT_COLUMNS
+from ingotflow.snapshots import SnapshotTable
 
 GENERATION = "gen"
 BATCH = "batch"
 FLUSH_ROWS = 10_000
 
 
+def current_query_id(df: DataFrame) -> str:
+    query_id = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query_id is None:
+        raise RuntimeError("a micro-batch is only written inside foreachBatch")
+    return query_id
+
+
 def write_batch(df: DataFrame, batch_id: int, path: str, partition_by: list[str],
                 max_records_per_file: int = 0, optimize_write: bool = True) -> None:
     """Write one micro-batch in place of any earlier attempt at it.
@@ -32,9 +40,7 @@ def write_batch(df: DataFrame, batch_id: int, path: str, partition_by: list[str]
     ``optimize_write`` lets adaptive execution choose few, evenly sized files, for one shuffle of
     the batch; switch it off when each task already has a file's worth of rows for few partitions.
     """
-    query_id = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    if query_id is None:
-        raise RuntimeError("write_batch must run inside foreachBatch")
+    query_id = current_query_id(df)
     sized = df.hint("rebalance", *partition_by) if optimize_write else df
     (sized.write.mode("overwrite")
      .option("compression", "snappy")
@@ -63,6 +69,15 @@ def start_bronze(df: DataFrame, path: str, checkpoint: str, processing_time: str
     return _start(df, write, checkpoint, processing_time)
 
 
+def start_append(df: DataFrame, table: SnapshotTable, checkpoint: str,
+                 processing_time: str | None = None) -> StreamingQuery:
+    """Append each micro-batch to a snapshot table, once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.append(batch, micro_batch=(current_query_id(batch), batch_id))
+
+    return _start(df, write, checkpoint, processing_time)
+
+
 def with_hour_bucket(df: DataFrame, timestamp: str = "_kafka_timestamp") -> DataFrame:
     return df.withColumns(hour_bucket(F.col(timestamp)))
 

@@ -186,6 +186,35 @@ def test_files_to_gold(spark, base, events):
     spark.sql("DROP DATABASE p_gold CASCADE")
 
 
+def test_new_files_are_appended_once_even_after_a_crash(spark, base, events, monkeypatch):
+    from ingotflow.snapshots import SnapshotTable
+
+    def land(*rows):
+        events(*rows).coalesce(1).write.mode("append").parquet(f"{base}/landing/year=2024/hour=01")
+
+    def run(**options):
+        jobs.new_landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze",
+                                   f"{base}/checkpoint", **options)
+        return ids(read_bronze_file(spark, f"{base}/bronze"))
+
+    land({"order_id": "A"}, {"order_id": "B"})
+    append = SnapshotTable.append
+
+    def append_then_crash(self, *args, **kwargs):
+        append(self, *args, **kwargs)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(SnapshotTable, "append", append_then_crash)
+    with pytest.raises(Exception, match="driver lost"):
+        run()
+    monkeypatch.setattr(SnapshotTable, "append", append)
+    assert run() == ["A", "B"]
+    land({"order_id": "C"})
+    assert run(max_bytes=1) == ["A", "B", "C"] and run() == ["A", "B", "C"]
+    row = read_bronze_file(spark, f"{base}/bronze").first()
+    assert row._source_file.endswith(".parquet") and "year" not in row.asDict()
+
+
 def test_command_line_arguments(monkeypatch):
     monkeypatch.delenv("KAFKA_TOPIC", raising=False)
     args = cli.parser().parse_args(["bronze-to-silver", "--bronze", "b", "--silver", "s",
