@@ -44,7 +44,7 @@ def test_hour_bucket_pads_and_line_total_rounds(spark):
 
 
 def test_schema_file_becomes_a_struct(tmp_path):
-    path = tmp_path / "order.avsc"
+    path = tmp_path / "record.json"
     path.write_text(ORDER_SCHEMA_JSON)
     assert struct_from_record(load_record_schema(str(path))) == EVENT
 

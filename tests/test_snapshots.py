@@ -1,5 +1,6 @@
 import random
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,8 +165,14 @@ def test_catalog_names(spark, base):
     assert silver.read().count() == 2
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        assert storage.scratch_dir(spark, "x").startswith(configured.rstrip("/"))
-    assert storage.scratch_dir(spark, "x") != storage.scratch_dir(spark, "x")
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    def session(master, **settings):
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master),
+                               conf=SimpleNamespace(get=lambda key, default: settings.get("dir")))
+
+    shared = session("spark://host:7077", dir="hdfs:///shared/")
+    assert storage.scratch_dir(shared, "x").startswith("hdfs:///shared/x-")
+    assert storage.scratch_dir(shared, "x") != storage.scratch_dir(shared, "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.scratch_dir(session("spark://host:7077"), "x")
+    assert storage.scratch_dir(session("local[2]"), "x")
