@@ -6,14 +6,43 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ingotflow.llm import byte_bpe, token_counts
-from ingotflow.llm.common import table
+from ingotflow.llm import byte_bpe, language_id, main_text, token_counts, topk, toxicity
+from ingotflow.llm.common import remainder, table
 
 #: Documents with more tokens than this are over the limit.
 TOKEN_LIMIT = 4096
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners of every fiftieth vector."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    model = language_id.fit(documents.where(~held_out))
+    return (language_id.identify(documents, model, keep=(held_out.alias("held_out"),))
+            .select("doc_id", "held_out", "lang_pred", "score"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels that are not held out."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = remainder("doc_id", 3) == 1
+    grammar = toxicity.fit(documents, labels.where(~held_out))
+    return (toxicity.score(documents, grammar, keep=(held_out.alias("held_out"),))
+            .select("doc_id", "held_out", "score", "predicted"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the piece model."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"),
@@ -28,9 +57,31 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_topk": op1_exact_topk,
+    "op3_main_text": op3_main_text,
+    "op5_language_id": op5_language_id,
+    "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
 #: SQL that DuckDB runs over the same tables, where SQL can express the operator.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_exact_topk": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x:
+                       CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, least(len(q.w), len(c.w)) + 1),
+                                                lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
+            FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+                           AS INTEGER) AS rank
+            FROM scores)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}
