@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingotflow.llm import byte_bpe, language_id, main_text, token_counts, topk, toxicity
+from ingotflow.llm import byte_bpe, language_id, main_text, near_dedup, token_counts, topk, toxicity
 from ingotflow.llm.common import remainder, table
 
 #: Documents with more tokens than this are over the limit.
@@ -25,6 +25,11 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, on two-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     documents = table(spark, sf_dir, "documents")
@@ -59,12 +64,37 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op3_main_text": op3_main_text,
+    "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
+#: Two-word shingle sets, links and components of ``documents``.
+NEAR_DUPLICATES = r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                       lambda x: x <> '') AS w
+            FROM documents),
+        shingles AS (
+            SELECT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(
+                       range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+        components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)"""
+
 #: SQL that DuckDB runs over the same tables, where SQL can express the operator.
 ORACLES: dict[str, str] = {
     "op1_exact_topk": """
@@ -84,4 +114,8 @@ ORACLES: dict[str, str] = {
                            AS INTEGER) AS rank
             FROM scores)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op4_near_dedup": NEAR_DUPLICATES + """
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id,
+               d.doc_id = c.component_id AS kept
+        FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN components c USING (doc_id)""",
 }
