@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingotflow.llm import byte_bpe, language_id, main_text, near_dedup, token_counts, topk, toxicity
+from ingotflow.llm import (
+    byte_bpe,
+    decontaminate,
+    language_id,
+    license_scan,
+    main_text,
+    near_dedup,
+    secret_scan,
+    token_counts,
+    topk,
+    toxicity,
+)
 from ingotflow.llm.common import remainder, table
 
 #: Documents with more tokens than this are over the limit.
@@ -20,6 +31,11 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return main_text.extract_pages(table(spark, sf_dir, "pages"))
@@ -61,14 +77,40 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.PATTERN)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, scanned with an empty ledger."""
+    found, _ = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = [rule.kind for rule in secret_scan.BASE]
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(
+            ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    of_base = F.filter("findings", lambda x: x["kind"].isin(base))
+    return found.select("doc_id", *map(count, base), F.sha2(joined(of_base), 256).alias("base_sha256"),
+                        joined(F.col("findings")).alias("spans"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in every document."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"),
+                                       table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_license_scan": op2_license_scan,
     "op3_main_text": op3_main_text,
     "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_decontamination": op10_decontamination,
 }
 
 #: Two-word shingle sets, links and components of ``documents``.
@@ -95,6 +137,27 @@ NEAR_DUPLICATES = r"""
             UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a),
         components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)"""
 
+def containment_sql(short: str, key: str) -> str:
+    """Tables of the five-word shingles of ``documents`` and of a table of short texts, and ``found``:
+    the short texts of which a document holds 80 in 100."""
+    def shingles(rows: str, id_column: str) -> str:
+        return f"""
+            SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 3), lambda i:
+                       array_to_string(w[i:i + 4], ' '))) AS s
+            FROM (SELECT {id_column} AS id, list_filter(string_split_regex(
+                             lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
+                  FROM {rows} WHERE {id_column} IS NOT NULL AND text IS NOT NULL) WHERE len(w) >= 5"""
+
+    return f"""
+        long_shingles AS ({shingles("documents", "doc_id")}),
+        short_shingles AS ({shingles(short, key)}),
+        short_sizes AS (SELECT id, count(*) AS n FROM short_shingles GROUP BY id),
+        found AS (
+            SELECT l.id AS doc_id, s.id AS {key}, count(*) AS shared, n AS n_shingles
+            FROM long_shingles l JOIN short_shingles s USING (s) JOIN short_sizes z ON z.id = s.id
+            GROUP BY ALL HAVING 100 * count(*) >= 80 * n)"""
+
+
 #: SQL that DuckDB runs over the same tables, where SQL can express the operator.
 ORACLES: dict[str, str] = {
     "op1_exact_topk": """
@@ -114,6 +177,8 @@ ORACLES: dict[str, str] = {
                            AS INTEGER) AS rank
             FROM scores)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op10_decontamination": f"""
+        WITH {containment_sql("benchmark", "item_id")} SELECT * FROM found""",
     "op4_near_dedup": NEAR_DUPLICATES + """
         SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id,
                d.doc_id = c.component_id AS kept

@@ -1,0 +1,152 @@
+"""Secret scan, license scan and decontamination against brute force."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from ingotflow.llm import containment, decontaminate, license_scan, secret_scan
+
+KEY = "AKIA" + "A1B2C3D4E5F6"
+HEX = "0123456789abcdef" * 2
+TEXTS = [
+    "", None, "nothing here", f"token={HEX}", f'Password : "{HEX}9" and {KEY} 🎉 ÄPI_KEY=abcdefgh',
+    "token=api_key:\"abcdefgh12\" secret=short secret==longer-value", f"🎉🎉{KEY}{KEY}x AKIASHORT {HEX}{HEX}",
+    "apikey='abcdefgh' " * 400, "-----BEGIN RSA PRIVATE KEY-----", "x" * 5000 + HEX.upper() + "passwd:" + "p" * 5000,
+    f"token={HEX}", "ghp_" + "a" * 40, "API_KEY  =  'abc/def+ghi='\nsecret:\n\"12345678",
+]
+
+
+def brute_force(text):
+    rules = [("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+              lambda m: len(m[2]) >= 8),
+             ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16),
+             ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 32)]
+    return sorted((m.start(), i, m.end(), kind) for i, (kind, pattern, ok) in enumerate(rules)
+                  for m in re.finditer(pattern, text or "") if ok(m))
+
+
+def spans(row):
+    return [tuple(x) for x in row.findings if x.kind_no < 3]
+
+
+@pytest.fixture
+def documents(spark):
+    return spark.createDataFrame(
+        [(i, t, "k", len(t or ""), "clash") for i, t in enumerate(TEXTS)] + [(None, TEXTS[3], "k", 1, "clash")] * 2,
+        "doc_id long, text string, source string, n_chars long, findings string")
+
+
+def test_findings_equal_brute_force(documents):
+    found, ledger = secret_scan.scan(documents)
+    rows = found.collect()
+    assert len(rows) == len(TEXTS) + 2
+    assert all(spans(r) == brute_force(r.text) for r in rows)
+    assert {x.kind for r in rows for x in r.findings} == {"assign", "access", "hex", "forge", "pem"}
+    assert ledger.count() == len({t or "" for t in TEXTS})
+
+
+def test_ledger_scans_only_what_is_new(spark, documents):
+    first = secret_scan.RULES[:2]
+    _, ledger = secret_scan.scan(documents, rules=first)
+    more, added = secret_scan.scan(documents, ledger)
+    assert {tuple(r.rules) for r in added.collect()} == {tuple(r.name for r in secret_scan.RULES[2:])}
+    assert all(spans(r) == brute_force(r.text) for r in more.collect())
+    _, nothing = secret_scan.scan(documents, ledger.union(added))
+    assert nothing.count() == 0
+    newer = documents.union(spark.createDataFrame([(99, f"new {KEY}", "k", 1, "c")], documents.schema))
+    again, one = secret_scan.scan(newer, ledger.union(added))
+    assert one.count() == 1
+    assert all(spans(r) == brute_force(r.text) for r in again.collect())
+
+
+def test_redaction(documents):
+    rows = secret_scan.redacted(documents).collect()
+    for row in rows:
+        source = next(t for t in TEXTS if row.doc_id is None or TEXTS[row.doc_id] == t)
+        source = TEXTS[3] if row.doc_id is None else TEXTS[row.doc_id]
+        if not brute_force(source) and "PRIVATE" not in (source or "") and "ghp_" not in (source or ""):
+            assert row.text == source
+        else:
+            assert secret_scan.MASK in row.text and not brute_force(row.text)
+            assert row.n_chars == len(row.text)
+    assert next(r.text for r in rows if r.doc_id == 3) == secret_scan.MASK
+    assert secret_scan.redacted(documents).columns == documents.columns
+
+
+def shingle_set(text, size=5):
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)}
+
+
+def held(documents, items):
+    sets = {}
+    for i, text in documents:
+        sets.setdefault(i, set()).update(shingle_set(text))
+    return sorted((i, j, len(s & q), len(q)) for i, s in sets.items() if i is not None for j, text in items
+                  if (q := shingle_set(text)) and 100 * len(s & q) >= 80 * len(q))
+
+
+def corpus(seed):
+    rnd = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(j, " ".join(rnd.choices(vocabulary, k=rnd.randint(3, 70)))) for j in range(25)]
+    items += [(90, "Five plain words stand here"), (91, None), (92, "")]
+    rows = []
+    for i in range(60):
+        words = rnd.choices(vocabulary, k=rnd.randint(0, 120))
+        for _, text in rnd.sample(items[:25], rnd.randint(0, 4)):
+            part = text.split()
+            if rnd.random() < .5:
+                part[rnd.randrange(len(part))] = "changed"
+            cut = rnd.randint(0, len(part) // 4) if rnd.random() < .4 else 0
+            words += part[cut:] + rnd.choices(vocabulary, k=rnd.randint(0, 30))
+        rows.append((i, " ".join(words)))
+    return rows + [(70, "FIVE plain, words stand-here!"), (71, None), (72, ""), (73, "four words are here"),
+                   (70, "a repeated id with other words"), (74, items[24][1] + " x" * 20_000 + " " + items[3][1])], items
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_decontamination_equals_brute_force(spark, seed):
+    rows, items = corpus(seed)
+    documents = spark.createDataFrame([(i, t, "item", 5) for i, t in [*rows, (None, rows[0][1])]],
+                                      "doc_id long, text string, item_id string, size int")
+    benchmark = spark.createDataFrame([(j, t, 1) for j, t in items], "item_id long, text string, doc_id int")
+    found = decontaminate.contamination(documents, benchmark)
+    assert sorted(map(tuple, found.collect())) == held(rows, items)
+    clean = decontaminate.decontaminated(documents, benchmark)
+    bad = {i for i, *_ in held(rows, items)}
+    assert clean.columns == documents.columns
+    assert clean.count() == sum(i not in bad for i, _ in rows) + 1
+
+
+def test_no_items_or_documents(spark):
+    documents = spark.createDataFrame([(1, "some words of a document here")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "some words of a document here")], "item_id long, text string")
+    assert decontaminate.contamination(documents.limit(0), items).count() == 0
+    assert decontaminate.contamination(documents, items.limit(0)).count() == 0
+    assert decontaminate.decontaminated(documents, items).count() == 0
+    assert license_scan.scan(documents.limit(0)).count() == 0
+    assert secret_scan.scan(documents.limit(0).withColumn("n_chars", F.lit(1)))[0].count() == 0
+
+
+def test_licenses(spark):
+    rows = [(i, f"Before it. {text} And after it.") for i, (_, text) in enumerate(license_scan.TEMPLATES)]
+    rows += [(100, "released under the mit license"), (101, "released under the license of mit"), (102, None)]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.template_id, r.shared, r.n_shingles) for r in found) == held(
+        rows, [(i, text) for i, (_, text) in enumerate(license_scan.TEMPLATES)])
+    assert {(i, i) for i in range(len(license_scan.TEMPLATES))} <= {(r.doc_id, r.template_id) for r in found}
+    exact = next(r for r in found if r.doc_id == 100)
+    assert (exact.license, exact.first_word, exact.last_word) == ("MIT", 0, 5)
+
+
+def test_bands_guarantee_collisions():
+    bands = containment.bands_for(0.2, 1e-6)
+    assert 0.8 ** bands <= 1e-6 < 0.8 ** (bands - 1)
+
+
+def test_native_plans(spark, documents):
+    plan = secret_scan.redacted(documents)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
