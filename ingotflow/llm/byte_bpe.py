@@ -98,19 +98,23 @@ def load(path: str, pattern: str) -> ByteBpe:
 
 def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id",
            text: str = "text") -> DataFrame:
-    """``key, ids`` of every row: the ids as an array of ints."""
+    """``key, n_tokens, ids, round_trip`` of every row: the ids, and whether they decode to the text."""
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = load(path, pattern)
-        ids = [np.frombuffer(coder.encode(t), "<u4") if t else np.empty(0, "<u4")
-               for t in batch.column(1).to_pylist()]
-        offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-        values = pa.array(np.concatenate(ids).astype(np.int32))
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        packed = [coder.encode(t) for t in texts]
+        sizes = [len(p) // 4 for p in packed]
+        ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes], dtype=np.int32)),
+                                       pa.array(np.frombuffer(b"".join(packed), "<i4")))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), values)], ["key", "ids"])
+            [batch.column(0), pa.array(sizes, pa.int64()), ids,
+             pa.array([coder.decode(p) == t.encode() for p, t in zip(packed, texts)], pa.bool_())],
+            ["key", "n_tokens", "ids", "round_trip"])
 
     kind = df.select(key).schema[0].dataType.simpleString()
     return map_slices(df.select(F.col(key).alias("key"), F.col(text).alias("text")), apply, 1,
-                      f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+                      f"key {kind}, n_tokens long, ids array<int>, round_trip boolean"
+                      ).withColumnRenamed("key", key)
 
 
 def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id",

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows and text bytes that a Python worker holds decoded at once.
 SLICE_ROWS, SLICE_BYTES = 1024, 4 << 20
@@ -38,7 +39,7 @@ def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
 
 
 def map_slices(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], text: int,
-               schema: str) -> DataFrame:
+               schema: str | StructType) -> DataFrame:
     """Map each slice of the frame's Arrow batches; rows stay in their partitions."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

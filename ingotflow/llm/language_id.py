@@ -168,3 +168,14 @@ def identify(df: DataFrame, model: LanguageFilters, text: str = "text", key: str
     rows = df.select(F.col(text).alias("_text"), F.col(key), *keep)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[1:])
     return map_slices(rows, apply, 0, f"{kept}, lang_pred string, score double")
+
+
+def accepted(df: DataFrame, model: LanguageFilters, least: float, text: str = "text") -> DataFrame:
+    """The rows whose language is known with a score of at least ``least``; all columns, rows unchanged."""
+    shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text)
+
+    def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names, score = shared.value.predict(batch.column(at).to_pylist())
+        return batch.filter(pa.array((score >= least) & (np.array(names, object) != UNKNOWN), pa.bool_()))
+
+    return map_slices(df, apply, at, df.schema)

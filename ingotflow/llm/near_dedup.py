@@ -228,3 +228,15 @@ def near_duplicates(df: DataFrame, size: int = 2) -> DataFrame:
     return (members.join(found, F.col("id") == F.col("node"), "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+
+
+def deduplicated(df: DataFrame, size: int = 5) -> DataFrame:
+    """One row of each component; all columns, rows unchanged.
+
+    It is the row of the smallest id, and if rows repeat that id, the one whose columns have the lowest hash.
+    Rows with a null id cannot be told apart by it and stay.
+    """
+    kept = near_duplicates(df, size).where("kept").select("doc_id").distinct()
+    one = (df.join(kept, "doc_id", "left_semi").select(F.struct(*df.columns).alias("row"))
+           .groupBy("row.doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*"))
+    return one.union(df.where("doc_id is null"))

@@ -103,6 +103,7 @@ def test_operators_over_a_table(spark, tiktoken_encode, piece_encode):
     assert sorted(map(tuple, out)) == expected
     listed = byte_bpe.encode(df, RANKS, PATTERN).na.fill(-1).collect()
     assert sorted((r.doc_id, len(r.ids)) for r in listed) == [e[:2] for e in expected]
+    assert all(r.round_trip and r.n_tokens == len(r.ids) for r in listed)
     counts = token_counts.count_tokens(df, MODEL, limit=50).na.fill(-1).collect()
     assert sorted(map(tuple, counts)) == sorted(
         (i if i is not None else -1, len((t or "").encode()), n := len(piece_encode(t or "")), n > 50)
