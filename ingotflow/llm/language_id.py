@@ -101,7 +101,7 @@ class LanguageFilters:
             corrected[:, i] = (np.diff(sums[begins]) - total * false) / max(1 - false, 1e-9)
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        best = corrected.argmax(axis=1)
+        best = np.maximum(corrected, 0, out=corrected).argmax(axis=1)
         score = corrected[np.arange(len(texts)), best] / np.maximum(total, 1)
         known = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts], bool)
         return ([self.languages[b] if k else UNKNOWN for b, k in zip(best, known)],

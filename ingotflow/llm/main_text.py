@@ -6,9 +6,9 @@ whose role, class or id names such a part (adverts, notices, comments, ...), bel
 then has a length: if the page marks its article (``<article>``, ``<main>``), the characters of its text
 inside and none outside; else the characters of its text outside links.
 
-The lengths are summed over sliding windows of ``WINDOW`` lines. The text begins at the surge, where the
-window sums first rise over the threshold and stay above zero, and ends at the dive, where they fall to
-zero for good; between a dive and the next surge nothing is kept. With a marked article every positive sum
+The lengths are summed over sliding windows of ``WINDOW`` lines. Text begins at a surge, a line of some length
+whose window's sum rises to the threshold, and ends at the dive, where the sums fall to zero; between a dive
+and the next surge nothing is kept. With a marked article every positive sum
 is over the threshold. Without one it is ``LEAST`` characters, or the highest sum if that is lower.
 
 Edge cases: a null or empty page, and a page without text, gives an empty text. Unclosed tags end with
@@ -129,7 +129,7 @@ def extract(html: str | None) -> str:
     kept: list[str] = []
     i = 0
     while i < len(lines):
-        if sums[i] >= threshold:  # a surge
+        if sums[i] >= threshold and lengths[i]:  # a surge
             dive = next((j for j in range(i, len(lines)) if not sums[j]), len(lines))
             kept += [text for (text, _, inside) in lines[i:dive] if inside or not marked]
             i = dive
