@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ from contract.order_view import (
     silver_sql,
     table,
 )
+from contract.scratch import scratch_dir
 from ingotflow.functions.columns import HOUR_BUCKET
 from ingotflow.functions.framing import strip_header
 from ingotflow.operators import gold, profiles, quality
@@ -33,7 +34,13 @@ from ingotflow.operators.enrich import (
 )
 from ingotflow.operators.upsert import merge_latest
 from ingotflow.plans import jobs
-from ingotflow.schemas import EVENT, EVENT_COLUMNS, SILVER_BASE_COLUMNS
+from ingotflow.schemas import (
+    EVENT,
+    EVENT_COLUMNS,
+    ORDER_SCHEMA_JSON,
+    SILVER_BASE_COLUMNS,
+    load_record_schema,
+)
 from ingotflow.sinks.bronze import append_bronze, compact_bronze
 from ingotflow.sinks.catalog import create_databases, list_databases, register_silver
 from ingotflow.sources.landing import read_landing
@@ -46,7 +53,7 @@ from ingotflow.sources.tables import (
     silver_table,
 )
 from ingotflow.sources.topic import read_topic_files
-from ingotflow.storage import scratch_dir
+from ingotflow.storage import delete_tree, write_new_text
 from ingotflow.streaming.sinks import FLUSH_ROWS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,7 +63,8 @@ ORACLES: dict[str, str] = {}
 
 SILVER_DB, GOLD_DB = "contract_silver", "contract_gold"
 KEYS = ["order_id", "order_timestamp", *TIES]
-BATCHES = ("F", "O")  # line_status splits the rows into two arrivals
+# Two arrivals: a condition on the line status, and its complement for whatever else there is.
+BATCHES = ("coalesce(line_status = 'F', false)", "coalesce(line_status <> 'F', true)")
 POSITION = ["_kafka_partition", "_kafka_offset", "_kafka_timestamp"]
 
 
@@ -123,6 +131,37 @@ def gold_order_status_summary(spark, sf_dir):
     return gold.order_status_summary(_silver(spark, sf_dir, ["order_status"]))
 
 
+def _positions(df: DataFrame, *columns: str) -> DataFrame:
+    """The declared order as a column; these frames have a row per date and few values."""
+    by_row = Window.orderBy(F.monotonically_increasing_id())
+    return df.select(F.row_number().over(by_row).alias("position"), *columns)
+
+
+def _positions_sql(rows: str, order: str, *columns: str) -> str:
+    return (f"SELECT cast(row_number() OVER (ORDER BY {order}) AS integer) AS position, "
+            f"{', '.join(columns)} FROM ({rows})")
+
+
+@query(_positions_sql(DAILY_SQL.format(rows=silver_sql(["currency"])), "order_date DESC, revenue DESC",
+                      "order_date", "revenue"))
+def daily_revenue_order(spark, sf_dir):
+    return _positions(gold.daily_revenue(_silver(spark, sf_dir, ["currency"])), "order_date", "revenue")
+
+
+@query(_positions_sql(f"SELECT order_date, order_status, count(*) AS order_count FROM "
+                      f"({silver_sql(['order_status'])}) GROUP BY order_date, order_status",
+                      "order_date DESC, order_count DESC", "order_date", "order_count"))
+def status_summary_order(spark, sf_dir):
+    return _positions(gold.order_status_summary(_silver(spark, sf_dir, ["order_status"])),
+                      "order_date", "order_count")
+
+
+@query(_positions_sql(f"SELECT DISTINCT order_date, currency FROM ({silver_sql(['currency'])})",
+                      "order_date DESC", "order_date"))
+def revenue_by_currency_order(spark, sf_dir):
+    return _positions(profiles.revenue_by_currency(_silver(spark, sf_dir, ["currency"])), "order_date")
+
+
 PRODUCTS = ["product_id", "product_name", "product_category"]
 TOP_SQL = f"""
 SELECT product_id, product_name, product_category,
@@ -227,20 +266,43 @@ def silver_columns_stream(spark, sf_dir):
     return rows.select(*FIXED, *POSITION)
 
 
+# The silver columns in their order.
+FILE_ORDER = ("order_id,customer_id,customer_name,customer_email,order_status,product_id,product_name,"
+              "product_category,quantity,unit_price,total_amount,currency,order_timestamp,order_date,"
+              "shipping_address_city,shipping_address_state,shipping_address_country,_ingested_at,"
+              "_source_file,_batch_id")
+STREAM_ORDER = ("order_id,customer_id,customer_name,customer_email,order_status,product_id,product_name,"
+                "product_category,quantity,unit_price,total_amount,currency,order_timestamp,order_date,"
+                "shipping_address_city,shipping_address_state,shipping_address_country,_ingested_at,"
+                "_kafka_partition,_kafka_offset,_kafka_timestamp")
+
+
+@query(f"SELECT '{FILE_ORDER}' AS file_columns, '{STREAM_ORDER}' AS stream_columns, "
+       f"count(*) AS row_count FROM lineitem")
+def silver_column_order(spark, sf_dir):
+    rows = cast_and_derive(order_view(spark, sf_dir))
+    stamped = rows.select("*", *(F.lit(None).alias(c) for c in (
+        *POSITION, "_batch_id", "_source_file", "_ingested_at")))
+    filed, streamed = select_file_columns(stamped), select_stream_columns(stamped)
+    return rows.agg(F.count("*").alias("row_count")).select(
+        F.lit(",".join(filed.columns)).alias("file_columns"),
+        F.lit(",".join(streamed.columns)).alias("stream_columns"), "row_count")
+
+
 # -- snapshots and upsert --------------------------------------------------------------------
 
 SPLIT = [*KEYS, "currency", "line_status"]
 SILVER_OUT = [*KEYS, "currency", "order_date"]
 
 
-def _batch(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    rows = order_view(spark, sf_dir, SPLIT).filter(F.col("line_status") == status)
+def _batch(spark: SparkSession, sf_dir: str, condition: str) -> DataFrame:
+    rows = order_view(spark, sf_dir, SPLIT).filter(condition)
     return _silver(spark, sf_dir, [], rows.drop("line_status"))
 
 
-def _batch_sql(status: str) -> str:
+def _batch_sql(condition: str) -> str:
     return latest_sql(f"SELECT *, cast(order_timestamp AS date) AS order_date "
-                      f"FROM ({order_sql(SPLIT)}) WHERE line_status = '{status}' "
+                      f"FROM ({order_sql(SPLIT)}) WHERE {condition} "
                       f"AND total_amount > 0 AND quantity > 0")
 
 
@@ -284,7 +346,7 @@ def silver_merge_small_source(spark, sf_dir):
 
 @query(MERGED_SQL)
 def silver_merge_join(spark, sf_dir):
-    first, second = (_batch(spark, sf_dir, status) for status in BATCHES)
+    first, second = (_batch(spark, sf_dir, condition) for condition in BATCHES)
     return merge_latest(first, second).select(*SILVER_OUT)
 
 
@@ -323,6 +385,22 @@ def time_travel_count(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+@query(f"SELECT count(*) AS row_count, count(DISTINCT order_id) AS distinct_keys, true AS marked "
+       f"FROM ({_merged_sql(['order_id'])})")
+def silver_uniqueness_after_merge(spark, sf_dir):
+    silver = _two_batches(spark, sf_dir, source_is_small=False)
+    marked = silver.snapshot().unique_key == "order_id"
+    return profiles.uniqueness(silver.read()).withColumn("marked", F.lit(marked))
+
+
+@query(f"SELECT DISTINCT order_date, 1 AS files FROM ({silver_sql(['currency'])})")
+def sized_write(spark, sf_dir):
+    silver = silver_table(spark, scratch_dir(spark, "silver"))
+    silver.overwrite(_silver(spark, sf_dir, ["currency"]).select(*SILVER_OUT))
+    written = silver.read().select("order_date", F.input_file_name().alias("file")).distinct()
+    return written.groupBy("order_date").agg(F.count("*").cast("int").alias("files"))
+
+
 # -- bronze, batch ---------------------------------------------------------------------------
 
 def _decimal_event() -> T.StructType:
@@ -353,9 +431,29 @@ def bronze_append(spark, sf_dir):
 @query(order_sql(amount="double"))
 def bronze_append_new(spark, sf_dir):
     base = scratch_dir(spark, "bronze")
-    for status in (*BATCHES, None):
-        if status is not None:
-            _land(_orders(spark, sf_dir, status).select(*EVENT_COLUMNS), f"{base}/landing")
+    for condition in (*BATCHES, None):
+        if condition is not None:
+            _land(_orders(spark, sf_dir, condition).select(*EVENT_COLUMNS), f"{base}/landing")
+        jobs.new_landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze",
+                                   f"{base}/checkpoint", compact=False)
+    return read_bronze_file(spark, f"{base}/bronze").select(*EVENT_COLUMNS)
+
+
+def _make_older(spark: SparkSession, path: str, days: int) -> None:
+    """Set back the modification times of a directory's files, as a copy that keeps times would."""
+    directory = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = directory.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(directory):
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+@query(order_sql(amount="double"))
+def landing_backfill(spark, sf_dir):
+    base = scratch_dir(spark, "bronze")
+    for condition, arrival in zip(BATCHES, ("now", "late")):
+        _land(_orders(spark, sf_dir, condition).select(*EVENT_COLUMNS), f"{base}/landing/{arrival}")
+        if arrival == "late":
+            _make_older(spark, f"{base}/landing/late", days=30)
         jobs.new_landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze",
                                    f"{base}/checkpoint", compact=False)
     return read_bronze_file(spark, f"{base}/bronze").select(*EVENT_COLUMNS)
@@ -391,11 +489,21 @@ def compaction(spark, sf_dir):
             .withColumn("fewer_files", F.lit(files() < before)))
 
 
+@query(f"WITH orders_once AS ({order_sql(amount='double')}) SELECT {', '.join(EVENT_COLUMNS)} "
+       f"FROM (SELECT * FROM orders_once UNION ALL SELECT * FROM orders_once)")
+def compaction_rows(spark, sf_dir):
+    landing, bronze = _landed(spark, sf_dir), scratch_dir(spark, "bronze")
+    for _ in range(2):
+        jobs.landing_to_bronze(spark, landing, bronze, compact=False)
+    compact_bronze(spark, bronze)
+    return read_bronze_file(spark, bronze).select(*EVENT_COLUMNS)
+
+
 # -- topic, landing, decode ------------------------------------------------------------------
 
-def _orders(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, condition: str | None = None) -> DataFrame:
     orders = order_view(spark, sf_dir, [*STREAMED, "line_status"], amount="double")
-    return orders if status is None else orders.filter(F.col("line_status") == status)
+    return orders if condition is None else orders.filter(condition)
 
 
 def _as_topic_rows(orders: DataFrame) -> DataFrame:
@@ -455,6 +563,30 @@ def landing_scan(spark, sf_dir):
                          "order_timestamp", F.lit(len(landed.columns)).alias("columns_read"))
 
 
+@query("SELECT count(*) AS row_count, count(DISTINCT event_id) AS keys FROM events")
+def landing_restart(spark, sf_dir):
+    """A landing batch that was finished but not committed, read, and run again."""
+    base = scratch_dir(spark, "restart")
+    _event_messages(spark, sf_dir).write.parquet(f"{base}/topic")
+    for _ in range(2):
+        jobs.topic_to_landing(read_topic_files(spark, f"{base}/topic"), f"{base}/landing",
+                              f"{base}/landing-checkpoint")
+        jobs.new_landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint",
+                                   compact=False)
+        delete_tree(spark, f"{base}/landing-checkpoint/commits")
+    return read_bronze_file(spark, f"{base}/bronze").agg(
+        F.count("*").alias("row_count"), F.count_distinct("order_id").alias("keys"))
+
+
+@query(order_sql(amount="double"))
+def schema_file_decode(spark, sf_dir):
+    """Records decoded by a schema that is read from a file."""
+    path = f"{scratch_dir(spark, 'schema')}/order.avsc"
+    write_new_text(spark, path, ORDER_SCHEMA_JSON)
+    messages = _messages(spark, sf_dir)
+    return parse_messages(messages, load_record_schema(spark, path)).select(*EVENT_COLUMNS)
+
+
 @query("""
 SELECT l_orderkey, l_linenumber,
        CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN '0001' WHEN 4 THEN ''
@@ -487,9 +619,9 @@ def flatten_record(spark, sf_dir):
 
 # -- streaming -------------------------------------------------------------------------------
 
-def _publish(spark: SparkSession, sf_dir: str, topic: str, status: str | None = None) -> None:
+def _publish(spark: SparkSession, sf_dir: str, topic: str, condition: str | None = None) -> None:
     """Write messages spread by key, as over a topic's partitions, in files of one flush of rows."""
-    spread = _orders(spark, sf_dir, status).repartition("order_id")
+    spread = _orders(spark, sf_dir, condition).repartition("order_id")
     (_as_topic_rows(spread).write.mode("append").option("maxRecordsPerFile", FLUSH_ROWS)
      .parquet(topic))
 
@@ -516,15 +648,27 @@ def stream_to_bronze(spark, sf_dir):
     return bronze.select(*EVENT_COLUMNS, *POSITION, stamped.alias("stamped"))
 
 
+@query("SELECT 3 AS batches, count(*) AS row_count FROM events")
+def stream_admission(spark, sf_dir):
+    """Three files of messages at one file a micro-batch."""
+    base = scratch_dir(spark, "stream")
+    _event_messages(spark, sf_dir).repartition(3, "offset").write.parquet(f"{base}/topic")
+    query_run = jobs.topic_to_bronze(read_topic_files(spark, f"{base}/topic", max_files=1),
+                                     f"{base}/bronze", f"{base}/checkpoint")
+    batches = sum(p["numInputRows"] > 0 for p in query_run.recentProgress)
+    return profiles.row_count(read_bronze_stream(spark, f"{base}/bronze")).select(
+        F.lit(batches).alias("batches"), "row_count")
+
+
 @query(f"""
-SELECT 1 AS run, count(*) FILTER (WHERE l_linestatus = '{BATCHES[0]}') AS row_count FROM lineitem
+SELECT 1 AS run, count(*) FILTER (WHERE l_linestatus = 'F') AS row_count FROM lineitem
 UNION ALL SELECT 2, count(*) FROM lineitem UNION ALL SELECT 3, count(*) FROM lineitem""")
 def stream_incremental(spark, sf_dir):
     base = scratch_dir(spark, "stream")
     counts = []
-    for run, status in enumerate([*BATCHES, None], start=1):
-        if status is not None:
-            _publish(spark, sf_dir, f"{base}/topic", status)
+    for run, condition in enumerate([*BATCHES, None], start=1):
+        if condition is not None:
+            _publish(spark, sf_dir, f"{base}/topic", condition)
         # Counted at once: scans of one directory compare equal, so Spark would run only one of them.
         counts.append((run, read_bronze_stream(spark, _streamed(spark, base)).count()))
     return spark.createDataFrame(counts, "run int, row_count bigint")
@@ -611,9 +755,9 @@ def _gold(spark: SparkSession, silver: str, base: str) -> None:
 
 def _file_silver(spark: SparkSession, sf_dir: str, base: str) -> str:
     """Two arrivals of landed files, each taken through bronze into silver."""
-    for status in BATCHES:
+    for condition in BATCHES:
         arrived = order_view(spark, sf_dir, [*EVENT_COLUMNS, "line_status"], amount="double")
-        _land(arrived.filter(F.col("line_status") == status).drop("line_status"),
+        _land(arrived.filter(condition).drop("line_status"),
               f"{base}/landing")
         jobs.landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze")
         jobs.bronze_to_silver(spark, f"{base}/bronze", f"{base}/silver", "file")
@@ -621,8 +765,8 @@ def _file_silver(spark: SparkSession, sf_dir: str, base: str) -> str:
 
 
 def _stream_silver(spark: SparkSession, sf_dir: str, base: str) -> str:
-    for status in BATCHES:
-        _publish(spark, sf_dir, f"{base}/topic", status)
+    for condition in BATCHES:
+        _publish(spark, sf_dir, f"{base}/topic", condition)
         bronze = _streamed(spark, base)
         jobs.bronze_to_silver(spark, bronze, f"{base}/silver", "stream")
     return f"{base}/silver"
@@ -684,6 +828,29 @@ def catalog_tables(spark, sf_dir):
     return result
 
 
+def _gold_tables(spark: SparkSession, sf_dir: str, columns: list[str]) -> None:
+    base = scratch_dir(spark, "gold")
+    silver = silver_table(spark, f"{base}/silver")
+    needed = list(dict.fromkeys([*KEYS, *PRODUCTS, "order_status", "currency", *columns]))
+    silver.overwrite(_silver(spark, sf_dir, needed), unique_key="order_id")
+    _gold(spark, silver.root, base)
+
+
+@query(f"""
+SELECT order_date, order_status, count(*) AS order_count,
+       cast(sum(total_amount) AS double) AS total_revenue
+FROM ({silver_sql(["order_status"])}) GROUP BY order_date, order_status""")
+def gold_table_status_summary(spark, sf_dir):
+    _gold_tables(spark, sf_dir, ["order_status"])
+    return read_named(spark, GOLD_DB, "order_status_summary")
+
+
+@query(TOP_SQL)
+def gold_table_top_products(spark, sf_dir):
+    _gold_tables(spark, sf_dir, PRODUCTS)
+    return read_named(spark, GOLD_DB, "top_products")
+
+
 @query(f"SELECT {_names(KEYS, 'total_amount')} FROM ({silver_sql(KEYS)})")
 def table_by_path(spark, sf_dir):
     path = scratch_dir(spark, "table")

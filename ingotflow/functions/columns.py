@@ -21,9 +21,15 @@ def event_time(name: str, data_type: T.DataType) -> Column:
 
 
 def hour_bucket(timestamp: Column) -> dict[str, Column]:
-    """Zero-padded ``year``, ``month``, ``day`` and ``hour`` of a message time, session time zone."""
-    return {name: F.date_format(timestamp, pattern)
-            for name, pattern in zip(HOUR_BUCKET, ["yyyy", "MM", "dd", "HH"])}
+    """Zero-padded ``year``, ``month``, ``day`` and ``hour`` of a message time in UTC.
+
+    Taken from the epoch seconds, so the session's time zone has no say.
+    """
+    seconds = F.unix_seconds(timestamp)
+    day = F.date_from_unix_date(F.floor(seconds / 86_400).cast("int"))
+    hour = F.floor(F.pmod(seconds, F.lit(86_400)) / 3600)
+    return dict(zip(HOUR_BUCKET, [F.lpad(part.cast("string"), width, "0") for part, width in (
+        (F.year(day), 4), (F.month(day), 2), (F.day(day), 2), (hour, 2))]))
 
 
 def line_total(quantity: Column, unit_price: Column) -> Column:

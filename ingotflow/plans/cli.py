@@ -10,6 +10,7 @@ from datetime import date
 from ingotflow.plans import jobs
 from ingotflow.schemas import ORDER_SCHEMA_JSON, load_record_schema
 from ingotflow.session import create_session
+from ingotflow.sources.landing import ANY_AGE
 from ingotflow.sources.topic import MAX_OFFSETS_PER_TRIGGER, read_topic
 from ingotflow.streaming.sinks import FLUSH_ROWS
 
@@ -39,9 +40,17 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command("landing-to-bronze", "append landed files to bronze", "landing", "bronze")
     sub.add_argument("--checkpoint", help="remember files here and append only new ones")
+    sub.add_argument("--max-bytes", type=int, help="most bytes in a micro-batch of new files")
+    sub.add_argument("--max-file-age", default=ANY_AGE,
+                     help="leave out new files this much older than the newest one read")
     sub = command("bronze-to-silver", "upsert bronze into silver", "bronze", "silver")
     sub.add_argument("--profile", choices=sorted(jobs.PROFILES), default="file")
     sub.add_argument("--since", type=date.fromisoformat, help="first ingestion date to read")
+    sub.add_argument("--source-is-small", action="store_true",
+                     help="the rows read are few next to the silver table's")
+    sub.add_argument("--count-read", action="store_true",
+                     help="log the rows read too; the validity filter is then not pushed down")
+    sub.add_argument("--table", help="merge into this catalog table instead, by its own MERGE")
     command("silver-to-gold", "rebuild the gold tables", "silver", "gold")
     return root
 
@@ -50,7 +59,7 @@ def run(args: argparse.Namespace) -> None:
     spark = create_session(args.job)
     try:
         if args.job in ("topic-to-landing", "topic-to-bronze"):
-            schema = load_record_schema(args.schema) if args.schema else ORDER_SCHEMA_JSON
+            schema = load_record_schema(spark, args.schema) if args.schema else ORDER_SCHEMA_JSON
             messages = read_topic(spark, args.servers, args.topic, args.max_offsets)
             if args.job == "topic-to-landing":
                 jobs.topic_to_landing(messages, args.landing, args.checkpoint, schema,
@@ -60,11 +69,14 @@ def run(args: argparse.Namespace) -> None:
                 jobs.topic_to_bronze(messages, args.bronze, args.checkpoint, schema,
                                      args.processing_time, args.optimize_write)
         elif args.job == "landing-to-bronze" and args.checkpoint:
-            jobs.new_landing_to_bronze(spark, args.landing, args.bronze, args.checkpoint)
+            jobs.new_landing_to_bronze(spark, args.landing, args.bronze, args.checkpoint,
+                                       max_bytes=args.max_bytes, max_file_age=args.max_file_age)
         elif args.job == "landing-to-bronze":
             jobs.landing_to_bronze(spark, args.landing, args.bronze)
         elif args.job == "bronze-to-silver":
-            jobs.bronze_to_silver(spark, args.bronze, args.silver, args.profile, args.since)
+            jobs.bronze_to_silver(spark, args.bronze, args.silver, args.profile, args.since,
+                                  source_is_small=args.source_is_small,
+                                  count_read=args.count_read, table=args.table)
         else:
             jobs.silver_to_gold(spark, args.silver, args.gold)
     finally:

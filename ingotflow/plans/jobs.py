@@ -23,12 +23,13 @@ from ingotflow.operators.enrich import (
 )
 from ingotflow.operators.gold import gold_models
 from ingotflow.operators.quality import validate
+from ingotflow.operators.upsert import merge_statement
 from ingotflow.schemas import EVENT_COLUMNS, ORDER_SCHEMA_JSON
 from ingotflow.sinks.bronze import append_bronze, compact_bronze
 from ingotflow.sinks.catalog import create_databases, register_silver
 from ingotflow.sinks.gold import build_table
-from ingotflow.snapshots import MergeResult
-from ingotflow.sources.landing import read_landing, read_landing_stream
+from ingotflow.snapshots import MergeResult, SnapshotTable
+from ingotflow.sources.landing import ANY_AGE, read_landing, read_landing_stream
 from ingotflow.sources.tables import (
     bronze_table,
     read_bronze_file,
@@ -80,10 +81,14 @@ def landing_to_bronze(spark: SparkSession, landing: str, bronze: str,
 
 def new_landing_to_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
                           batch_id: str | None = None, max_bytes: int | None = None,
-                          compact: bool = True) -> str:
-    """Append only the files landed since the checkpoint's last run, each of them once."""
+                          compact: bool = True, max_file_age: str = ANY_AGE) -> str:
+    """Append only the files landed since the checkpoint's last run, each of them once.
+
+    ``max_bytes`` limits a micro-batch; a first run over a long backlog should set it.
+    """
     batch_id = batch_id or str(uuid.uuid4())
-    landed = add_file_metadata(read_landing_stream(spark, landing, max_bytes=max_bytes), batch_id)
+    files = read_landing_stream(spark, landing, max_bytes=max_bytes, max_file_age=max_file_age)
+    landed = add_file_metadata(files, batch_id)
     run_to_end(start_append(landed, bronze_table(spark, bronze), checkpoint))
     if compact and bronze_table(spark, bronze).exists():
         compact_bronze(spark, bronze)
@@ -120,10 +125,32 @@ class SilverRun:
     """What a silver run did. The row counts come from the one pass over bronze; they are log
     figures and may count rows again that a lost executor made Spark recompute."""
 
-    rows_read: int
+    rows_read: int | None  # only counted on request
     rows_valid: int
     rows_latest: int
-    merge: MergeResult
+    merge: MergeResult | None  # none if a catalog table's own MERGE did it
+
+
+def merge_into(rows: DataFrame, table: str) -> None:
+    """Upsert into a catalog table whose format supports ``MERGE``; creates no table."""
+    view = f"silver_rows_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    try:
+        rows.sparkSession.sql(merge_statement(table, view, rows.columns, KEY, TIMESTAMP))
+    finally:
+        rows.sparkSession.catalog.dropTempView(view)
+
+
+def _merge_snapshot(table: SnapshotTable, rows: DataFrame, counts: dict[str, Observation],
+                    compact: bool, source_is_small: bool) -> MergeResult:
+    if table.exists():
+        merged = table.merge(rows, KEY, TIMESTAMP, source_is_small)
+    else:
+        created = table.overwrite(rows, unique_key=KEY)
+        merged = MergeResult(created.version, 0, counts["latest"].get["rows"])
+    if compact:
+        table.compact()
+    return merged
 
 
 def silver_rows(bronze: DataFrame, profile: Profile,
@@ -136,29 +163,34 @@ def silver_rows(bronze: DataFrame, profile: Profile,
 
 
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, profile: str = "file",
-                     since: date | None = None, compact: bool = True) -> SilverRun:
+                     since: date | None = None, compact: bool = True,
+                     source_is_small: bool = False, count_read: bool = False,
+                     table: str | None = None) -> SilverRun:
     """Upsert bronze into silver; the first run creates it.
 
-    ``since`` reads only bronze partitions from that ingestion date on. The upsert then takes the
-    source for small next to the target and reduces the target's keys before joining.
+    ``since`` reads only bronze partitions from that ingestion date on. ``source_is_small`` says that
+    the run's rows are few next to the table's: they are staged, and the target's keys reduced to theirs
+    before joining. ``count_read`` also counts the rows read, which keeps the validity filter from
+    being pushed into the scan. ``table`` names a catalog table whose format supports ``MERGE``; it is
+    then merged into instead of the snapshots below ``silver``.
     """
     shape = PROFILES[profile]
     counts: dict[str, Observation] = {}
 
     def observe(name: str, df: DataFrame) -> DataFrame:
+        if name == "read" and not count_read:
+            return df
         counts[name] = Observation()
         return df.observe(counts[name], F.count(F.lit(1)).alias("rows"))
 
     rows = silver_rows(shape.read(spark, bronze, since=since), shape, observe)
-    table = silver_table(spark, silver)
-    if table.exists():
-        merged = table.merge(rows, KEY, TIMESTAMP, source_is_small=since is not None)
+    if table is not None:
+        merge_into(rows, table)
+        merged = None
     else:
-        created = table.overwrite(rows, unique_key=KEY)
-        merged = MergeResult(created.version, 0, counts["latest"].get["rows"])
-    if compact:
-        table.compact()
-    run = SilverRun(*(counts[n].get["rows"] for n in ("read", "valid", "latest")), merged)
+        merged = _merge_snapshot(silver_table(spark, silver), rows, counts, compact, source_is_small)
+    run = SilverRun(*(counts[n].get["rows"] if n in counts else None
+                      for n in ("read", "valid", "latest")), merged)
     logger.info("silver: %s", run)
     return run
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from ingotflow import storage
+
 # The event's enum symbols and its sixteen fields, in wire order.
 ORDER_STATUSES = ["PENDING", "CONFIRMED", "SHIPPED", "DELIVERED", "CANCELLED"]
 CURRENCIES = ["USD", "EUR", "BRL"]
@@ -45,10 +48,9 @@ AVRO_TO_SPARK = {
 }
 
 
-def load_record_schema(path: str) -> str:
-    """The JSON text of a record schema file on the driver."""
-    with open(path, encoding="utf-8") as f:
-        return f.read()
+def load_record_schema(spark: SparkSession, path: str) -> str:
+    """The JSON text of a record schema file, on any file system that Spark reads."""
+    return storage.read_text(spark, path)
 
 
 def record_fields(schema_json: str) -> list[tuple[str, str, list[str]]]:

@@ -2,10 +2,39 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from ingotflow import storage
+
+REFRESH = "refresh-"
+
 
 def build_table(df: DataFrame, database: str, table: str, location: str) -> None:
-    """Replace a table; the model's order shapes the files, readers must sort again to rely on it."""
-    (df.write.mode("overwrite").format("parquet").option("path", location)
-     .saveAsTable(f"{database}.{table}"))
+    """Replace a table's rows; the model's order shapes the files, readers must sort again to rely on it.
+
+    Each refresh writes a folder of its own below ``location``, and only then is the name pointed at
+    it, so a refresh that fails leaves the table as it was. The folder of the refresh before stays, for
+    readers that began on it; older ones go.
+    """
+    spark, name = df.sparkSession, f"{database}.{table}"
+    before = _location(df, name)
+    folder = f"{REFRESH}{uuid.uuid4().hex}"
+    df.write.parquet(f"{location}/{folder}")
+    if before is not None and spark.table(name).dtypes == df.dtypes:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}/{folder}'")
+        spark.catalog.refreshTable(name)
+    else:  # the first refresh, or one with other columns
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}/{folder}'")
+    for old in storage.list_names(spark, location):
+        if old.startswith(REFRESH) and old != folder and not (before or "").endswith(old):
+            storage.delete_tree(spark, f"{location}/{old}")
+
+
+def _location(df: DataFrame, name: str) -> str | None:
+    if not df.sparkSession.catalog.tableExists(name):
+        return None
+    rows = df.sparkSession.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return rows.first()["data_type"].rstrip("/")

@@ -34,6 +34,8 @@ from ingotflow.operators.upsert import (
 WRITE = "snap_write"
 NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 SMALL_FILE_BYTES = 64 * 1024 * 1024
+#: Table property that names the root a numbered table belongs to.
+ROOT_PROPERTY = "ingotflow.root"
 
 
 class Piece(NamedTuple):
@@ -139,9 +141,8 @@ class SnapshotTable:
         sized = df.hint("rebalance", self.partition) if rebalance else df
         target = f"{self._data}/{WRITE}={write}"
         sized.write.partitionBy(self.partition).parquet(target)
-        found = (n for n in storage.list_names(self.spark, target) if "=" in n)
-        return {p: Piece(write, *storage.files_and_bytes(self.spark, f"{target}/{p}"), rebalance)
-                for p in found}
+        return {p: Piece(write, *sizes, rebalance)
+                for p, sizes in storage.files_and_bytes(self.spark, target).items()}
 
     def overwrite(self, df: DataFrame, unique_key: str | None = None) -> Snapshot:
         """Replace rows and schema. ``unique_key`` records that ``df`` holds each key once."""
@@ -186,14 +187,14 @@ class SnapshotTable:
         target = self._scan(current.schema, current.pieces)
         require_same_columns(target, source)
         source = source.select(*current.schema.names)
-        scratch = storage.scratch_dir(self.spark, "merge")
+        scratch = f"{self.root}/staging/merge-{uuid.uuid4().hex}"
         try:
             if source_is_small:
                 source = storage.stage(source, f"{scratch}/source")
             changes = storage.stage(
                 changed_rows(target, source, self.partition, key, timestamp, source_is_small),
                 f"{scratch}/changes")
-            losing, updated, inserted = self._summary(changes, key)
+            losing, updated, inserted, unique = self._summary(changes, key)
             pieces = current.pieces
             if updated or inserted:
                 rewritten = {p: pieces[p] for p in losing}
@@ -202,23 +203,27 @@ class SnapshotTable:
                 written = self._write(kept.unionByName(changes.drop(MATCHED, OLD_PARTITION)))
                 pieces = _joined({p: found for p, found in pieces.items() if p not in rewritten},
                                  {p: [piece] for p, piece in written.items()})
-            published = self._publish(replace(current, version=current.version + 1, pieces=pieces))
+            published = self._publish(replace(
+                current, version=current.version + 1, pieces=pieces,
+                unique_key=current.unique_key if unique else None))
             return MergeResult(published.version, updated, inserted)
         finally:
             storage.delete_tree(self.spark, scratch)
 
-    def _summary(self, changes: DataFrame, key: str) -> tuple[list[str], int, int]:
-        """Partitions that lose rows, rows updated, rows inserted. One row per date is collected."""
+    def _summary(self, changes: DataFrame, key: str) -> tuple[list[str], int, int, bool]:
+        """Partitions that lose rows, rows updated, rows inserted, and whether the inserted keys, NULL
+        apart, are unique. One row per date is collected."""
         per_date = (changes.groupBy(MATCHED, OLD_PARTITION)
-                    .agg(F.count("*").alias("rows"),
-                         F.count_distinct(F.when(F.col(MATCHED), F.col(key))).alias("keys"))
+                    .agg(F.count("*").alias("rows"), F.count(key).alias("named"),
+                         F.count_distinct(key).alias("keys"))
                     .collect())
         matched = [r for r in per_date if r[MATCHED]]
         if any(r["rows"] != r["keys"] for r in matched):
             raise ValueError(f"several source rows update one target row; {key!r} must be unique")
         return ([_partition_name(self.partition, r[OLD_PARTITION]) for r in matched],
                 sum(r["rows"] for r in matched),
-                sum(r["rows"] for r in per_date if not r[MATCHED]))
+                sum(r["rows"] for r in per_date if not r[MATCHED]),
+                all(r["named"] == r["keys"] for r in per_date))
 
     def compact(self, small_file_bytes: int = SMALL_FILE_BYTES) -> Snapshot:
         """Same rows, fewer files: rewrite the pieces that are small, or made of small files.
@@ -245,27 +250,46 @@ class SnapshotTable:
     # -- catalog -----------------------------------------------------------------------------
 
     def register(self, name: str, version: int | None = None) -> None:
-        """Make a snapshot readable as ``name``; each registered one also stays ``name_v<n>``.
+        """Make a snapshot readable as ``name``, and as ``name_v<n>``.
 
         The numbered name is an external table holding exactly the snapshot's partitions, so
         queries prune them in the catalog. ``name`` is a view on it that hides the write column.
+        A snapshot registered already is not registered again. The numbered name before it stays,
+        for queries that began on it; older ones go, their snapshots are still read by version.
         """
         snapshot = self.snapshot(version)
         numbered = f"{name}_v{snapshot.version}"
+        if not self._is_registered(numbered):
+            self._register_numbered(snapshot, numbered)
+        listed = ", ".join(f"`{c}`" for c in snapshot.schema.names)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {numbered}")
+        database, _, short = name.rpartition(".")
+        names = [t.name for t in self.spark.catalog.listTables(database or None, f"{short}_v*")]
+        others = sorted((int(number) for n in names if n != numbered.rpartition(".")[2]
+                         and (number := n.removeprefix(f"{short}_v")).isdigit()), reverse=True)
+        for old in others[1:]:
+            self.spark.sql(f"DROP TABLE {name}_v{old}")
+
+    def _is_registered(self, numbered: str) -> bool:
+        if not self.spark.catalog.tableExists(numbered):
+            return False
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {numbered} ('{ROOT_PROPERTY}')").first()
+        return found["value"] == self.root
+
+    def _register_numbered(self, snapshot: Snapshot, numbered: str) -> None:
         columns = [f for f in snapshot.schema if f.name != self.partition]
         ddl = T.StructType([*columns, T.StructField(WRITE, T.StringType()),
                             snapshot.schema[self.partition]]).toDDL()
         self.spark.sql(f"DROP TABLE IF EXISTS {numbered}")  # external: its files stay
         self.spark.sql(
             f"CREATE TABLE {numbered} ({ddl}) USING parquet "
-            f"PARTITIONED BY ({WRITE}, {self.partition}) LOCATION '{self._data}'")
+            f"PARTITIONED BY ({WRITE}, {self.partition}) LOCATION '{self._data}' "
+            f"TBLPROPERTIES ('{ROOT_PROPERTY}' = '{self.root}')")
         specs = [f"PARTITION ({WRITE}='{piece.write}', {_partition_sql(partition)})"
                  for partition, found in snapshot.pieces.items() for piece in found]
         for start in range(0, len(specs), 500):
             self.spark.sql(f"ALTER TABLE {numbered} ADD IF NOT EXISTS "
                            + " ".join(specs[start:start + 500]))
-        listed = ", ".join(f"`{c}`" for c in snapshot.schema.names)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {numbered}")
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

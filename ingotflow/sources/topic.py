@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ingotflow.schemas import KAFKA_ROW
+from ingotflow.sources.landing import ANY_AGE
 
 MAX_OFFSETS_PER_TRIGGER = 10_000
 
@@ -30,13 +31,15 @@ def read_topic(spark: SparkSession, servers: str, topic: str,
 
 
 def read_topic_files(spark: SparkSession, path: str, max_files: int | None = None,
-                     max_bytes: int | None = None) -> DataFrame:
+                     max_bytes: int | None = None, max_file_age: str = ANY_AGE) -> DataFrame:
     """The same rows from Parquet files of the topic's seven columns, new files as they appear.
 
     ``max_files`` or ``max_bytes`` limits a micro-batch as ``maxOffsetsPerTrigger`` does for a
     topic; vanished files are tolerated as ``failOnDataLoss=false`` tolerates vanished offsets.
+    ``max_file_age`` is that of ``read_landing_stream``: by default no file is too old.
     """
-    reader = spark.readStream.schema(KAFKA_ROW).option("ignoreMissingFiles", "true")
+    reader = (spark.readStream.schema(KAFKA_ROW).option("ignoreMissingFiles", "true")
+              .option("maxFileAge", max_file_age))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:

@@ -1,11 +1,16 @@
-"""Paths: small driver-side helpers over the Hadoop file system, and the shared scratch folder."""
+"""Paths: small driver-side helpers over the Hadoop file system.
+
+``write_new_text`` needs a file system whose rename is atomic and does not overwrite, as HDFS and
+local ones have; object stores do not give that.
+"""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _path(spark: SparkSession, path: str):
@@ -25,10 +30,25 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
-def files_and_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
+def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = _path(spark, path)
-    summary = hadoop_path.getFileSystem(_hadoop_conf(spark)).getContentSummary(hadoop_path)
-    return summary.getFileCount(), summary.getLength()
+    return hadoop_path.getFileSystem(_hadoop_conf(spark)).exists(hadoop_path)
+
+
+def files_and_bytes(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
+    """Number and bytes of the data files in each directory of ``path``, by its name.
+
+    Spark lists the files, in parallel where there are many directories, and reads none of them. One
+    row per directory comes back.
+    """
+    names = list_names(spark, path)
+    if not any("=" in name for name in names):
+        return {}
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("length", F.element_at(F.split("path", "/"), -2).alias("directory")))
+    sizes = files.groupBy("directory").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    raw = {unquote(r["directory"]): (r["files"], r["bytes"]) for r in sizes.collect()}
+    return {name: raw[unquote(name)] for name in names if unquote(name) in raw}
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -68,19 +88,6 @@ def delete_tree(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(_hadoop_conf(spark)).delete(hadoop_path, True)
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused directory name below ``spark.checkpoint.dir``, which all executors share.
-
-    Only a local session without that setting falls back to the machine's temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="ingotflow-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back: cuts lineage, survives lost executors."""
     df.write.parquet(path)

@@ -1,12 +1,12 @@
 """Stream sinks for the landing and bronze layers.
 
-Each micro-batch overwrites a directory of its own::
+Each micro-batch has a directory of its own::
 
     <root>/gen=<query id>/batch=<batch id>/<partition columns>/part-*.parquet
 
-The query id lives in the checkpoint. A restarted query keeps it, so a batch that was written but
-not committed is written again in place; a query with a fresh checkpoint has a new one, so a full
-replay appends.
+The query id lives in the checkpoint. A restarted query keeps it, so a batch that was begun is written
+again in place, and one that was finished is not; a query with a fresh checkpoint has a new one, so a
+full replay appends.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ingotflow import storage
 from ingotflow.functions.columns import HOUR_BUCKET, hour_bucket
 from ingotflow.schemas import EVENT_COLUMNS
 from ingotflow.snapshots import SnapshotTable
@@ -35,18 +36,23 @@ def current_query_id(df: DataFrame) -> str:
 
 def write_batch(df: DataFrame, batch_id: int, path: str, partition_by: list[str],
                 max_records_per_file: int = 0, optimize_write: bool = True) -> None:
-    """Write one micro-batch in place of any earlier attempt at it.
+    """Write one micro-batch in place of any unfinished attempt at it.
+
+    An attempt that was finished, but not committed by the stream, is left alone: its files may have
+    been read already, and a rewrite would bring the same rows under other names.
 
     ``optimize_write`` lets adaptive execution choose few, evenly sized files, for one shuffle of
     the batch; switch it off when each task already has a file's worth of rows for few partitions.
     """
-    query_id = current_query_id(df)
+    target = f"{path}/{GENERATION}={current_query_id(df)}/{BATCH}={batch_id}"
+    if storage.exists(df.sparkSession, f"{target}/_SUCCESS"):
+        return
     sized = df.hint("rebalance", *partition_by) if optimize_write else df
     (sized.write.mode("overwrite")
      .option("compression", "snappy")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*partition_by)
-     .parquet(f"{path}/{GENERATION}={query_id}/{BATCH}={batch_id}"))
+     .parquet(target))
 
 
 def _start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,

@@ -14,7 +14,9 @@ from contract.queries import ORACLES, QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 SLOW = {"landing_hourly", "landing_scan", "pipeline_file", "pipeline_stream", "stream_replay",
         "stream_incremental", "silver_merge_upsert", "silver_merge_small_source", "compaction",
-        "time_travel_count", "catalog_tables", "bronze_append_new"}
+        "time_travel_count", "catalog_tables", "bronze_append_new", "landing_backfill",
+        "landing_restart", "stream_admission", "silver_uniqueness_after_merge",
+        "gold_table_status_summary", "gold_table_top_products", "compaction_rows"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables here")
 

@@ -1,0 +1,210 @@
+"""What a long-lived deployment meets: old files, failed refreshes, restarts, other time zones."""
+
+import os
+import time
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from test_operators import T1, T2, rows
+from test_pipelines import ids, messages, to_bronze
+from test_snapshots import frame
+
+from ingotflow import storage
+from ingotflow.functions.columns import HOUR_BUCKET, hour_bucket
+from ingotflow.plans import cli, jobs
+from ingotflow.sinks.catalog import create_databases, register_silver
+from ingotflow.sinks.gold import build_table
+from ingotflow.snapshots import SnapshotTable
+from ingotflow.sources.landing import read_landing
+from ingotflow.sources.tables import read_bronze_file, read_bronze_stream, silver_table
+from ingotflow.sources.topic import read_topic_files
+from ingotflow.streaming import sinks
+
+
+def make_older(directory, days):
+    for name in os.listdir(directory):
+        path, then = f"{directory}/{name}", time.time() - days * 86_400
+        os.utime(path, (then, then))
+
+
+@pytest.fixture
+def local(base):
+    return base.removeprefix("file://")
+
+
+def test_old_files_are_still_taken(spark, base, local, events):
+    def land(key, arrival):
+        events({"order_id": key}).coalesce(1).write.parquet(f"{base}/landing/{arrival}")
+
+    def run(**options):
+        jobs.new_landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint", **options)
+        return ids(read_bronze_file(spark, f"{base}/bronze"))
+
+    land("A", 1)
+    assert run() == ["A"]
+    land("B", 2)
+    make_older(f"{local}/landing/2", 60)
+    assert run() == ["A", "B"]
+    land("C", 3)
+    make_older(f"{local}/landing/3", 60)
+    assert run(max_file_age="7d") == ["A", "B"]  # asked for
+
+
+def test_old_topic_files_are_still_taken(spark, base, local, events):
+    messages(events({"order_id": "A"})).coalesce(1).write.parquet(f"{base}/topic")
+    assert sum(to_bronze(spark, base)) == 1
+    messages(events({"order_id": "B"})).coalesce(1).write.mode("append").parquet(f"{base}/topic")
+    make_older(f"{local}/topic", 60)
+    assert sum(to_bronze(spark, base)) == 1
+    assert ids(read_bronze_stream(spark, f"{base}/bronze")) == ["A", "B"]
+
+
+def test_vanished_topic_file_is_tolerated(spark, base, local, events):
+    messages(events({"order_id": "A"}, {"order_id": "B"})).repartition(2, "offset").write.parquet(f"{base}/topic")
+    stream = read_topic_files(spark, f"{base}/topic", max_files=1)
+    gone = []
+
+    def remove_one(batch, batch_id):
+        if not gone:
+            files = [f for f in os.listdir(f"{local}/topic") if f.endswith(".parquet")]
+            gone.extend(f"{local}/topic/{f}" for f in files)
+            for path in gone:
+                os.remove(path)
+        batch.count()
+
+    sinks.run_to_end(stream.writeStream.foreachBatch(remove_one).trigger(availableNow=True)
+                     .option("checkpointLocation", f"{base}/c").start())
+    assert gone
+
+
+def test_failed_refresh_leaves_the_table(spark, base):
+    create_databases(spark, "f_gold", location=base)
+    good = spark.range(5).withColumn("x", F.lit(1))
+    build_table(good, "f_gold", "t", f"{base}/gold/t")
+    bad = good.withColumn("x", F.when(F.col("id") == 3, F.raise_error(F.lit("broken"))).otherwise(1))
+    with pytest.raises(Exception, match="broken"):
+        build_table(bad, "f_gold", "t", f"{base}/gold/t")
+    assert spark.table("f_gold.t").count() == 5
+    for n in (6, 7, 8):
+        build_table(spark.range(n).withColumn("x", F.lit(1)), "f_gold", "t", f"{base}/gold/t")
+        assert spark.table("f_gold.t").count() == n
+    assert len([f for f in storage.list_names(spark, f"{base}/gold/t") if f.startswith("refresh-")]) <= 2
+    build_table(spark.range(2).withColumn("y", F.lit("z")), "f_gold", "t", f"{base}/gold/t")
+    assert spark.table("f_gold.t").columns == ["id", "y"]
+    spark.sql("DROP DATABASE f_gold CASCADE")
+
+
+def test_registering_again_adds_no_partition(spark, base, monkeypatch):
+    create_databases(spark, "f_silver", location=base)
+    silver = silver_table(spark, f"{base}/silver")
+    silver.overwrite(frame(spark, ("A", T1, 1)))
+    register_silver(spark, silver.root, "f_silver.orders")
+    said = []
+    monkeypatch.setattr(SnapshotTable, "_register_numbered", lambda *a: said.append(a))
+    register_silver(spark, silver.root, "f_silver.orders")
+    assert not said
+    monkeypatch.undo()
+    for v in (2, 3):
+        silver.append(frame(spark, ("B", T1, v)))
+        register_silver(spark, silver.root, "f_silver.orders")
+    names = {t.name for t in spark.catalog.listTables("f_silver")}
+    assert names == {"orders", "orders_v2", "orders_v1"}
+    other = silver_table(spark, f"{base}/other")
+    for v in (7, 8, 9):
+        other.append(frame(spark, ("Z", T2, v)))
+    register_silver(spark, other.root, "f_silver.orders")  # the same number, another table
+    assert rows(spark.table("f_silver.orders"), "v") == [(7,), (8,), (9,)]
+    spark.sql("DROP DATABASE f_silver CASCADE")
+
+
+def test_duplicate_inserts_clear_the_unique_mark(spark, base):
+    table = SnapshotTable(spark, f"{base}/table", "order_date")
+    table.overwrite(frame(spark, ("A", T1, 1)), unique_key="order_id")
+    table.merge(frame(spark, ("C", T1, 1), (None, T1, 2), (None, T2, 3)), "order_id", "order_timestamp")
+    assert table.snapshot().unique_key == "order_id"  # NULL keys are no keys
+    result = table.merge(frame(spark, ("B", T1, 2), ("B", T1, 3)), "order_id", "order_timestamp")
+    assert result.inserted == 2 and table.snapshot().unique_key is None
+    assert storage.list_names(spark, f"{table.root}/staging") == []
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata", "America/Sao_Paulo"])
+def test_landing_hour_is_utc_in_any_session(spark, zone):
+    instants = ["2024-03-10T07:30:00", "2024-11-03T06:15:00", "2018-11-04T03:00:00", "1969-12-31T23:59:59"]
+    seconds = [int((datetime.fromisoformat(i) - datetime(1970, 1, 1)).total_seconds()) for i in instants]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(s,) for s in seconds], "s long").select(
+            F.timestamp_seconds("s").alias("ts")).select(*hour_bucket(F.col("ts")).values())
+        found = [tuple(r) for r in df.toDF(*HOUR_BUCKET).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == [(i[:4], i[5:7], i[8:10], i[11:13]) for i in instants]
+
+
+def test_finished_landing_batch_is_not_rewritten(spark, base, events, monkeypatch):
+    messages(events({"order_id": "A"})).coalesce(1).write.parquet(f"{base}/topic")
+
+    def land():
+        jobs.topic_to_landing(read_topic_files(spark, f"{base}/topic"), f"{base}/landing", f"{base}/checkpoint")
+
+    def bronze():
+        jobs.new_landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/bronze-checkpoint")
+        return ids(read_bronze_file(spark, f"{base}/bronze"))
+
+    write = sinks.write_batch
+
+    def write_then_crash(*args, **kwargs):
+        write(*args, **kwargs)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(sinks, "write_batch", write_then_crash)
+    with pytest.raises(Exception, match="driver lost"):
+        land()
+    monkeypatch.setattr(sinks, "write_batch", write)
+    assert bronze() == ["A"]
+    before = read_landing(spark, f"{base}/landing").inputFiles()
+    land()
+    assert read_landing(spark, f"{base}/landing").inputFiles() == before and bronze() == ["A"]
+
+
+def test_validity_filter_reaches_the_scan_of_the_job(spark, base, events, monkeypatch):
+    events({"order_id": "A"}).write.parquet(f"{base}/landing")
+    jobs.landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plans, overwrite = [], SnapshotTable.overwrite
+
+    def spied(self, df, unique_key=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return overwrite(self, df, unique_key)
+
+    monkeypatch.setattr(SnapshotTable, "overwrite", spied)
+    run = jobs.bronze_to_silver(spark, f"{base}/bronze", f"{base}/silver")
+    assert (run.rows_read, run.rows_valid, run.rows_latest) == (None, 1, 1)
+    pushed = plans[0].split("PushedFilters:")[1].split("ReadSchema")[0]
+    assert "GreaterThan(total_amount,0.0)" in pushed and "GreaterThan(quantity,0)" in pushed
+    counted = jobs.bronze_to_silver(spark, f"{base}/bronze", f"{base}/silver", count_read=True)
+    assert counted.rows_read == 1
+
+
+def test_a_catalog_table_is_merged_by_its_own_statement(spark, base, events, monkeypatch):
+    """Dispatch only: no format here supports MERGE."""
+    events({"order_id": "A"}).write.parquet(f"{base}/landing")
+    jobs.landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze")
+    said = []
+    monkeypatch.setattr(jobs, "merge_into", lambda rows, table: said.append((rows.columns, table)))
+    run = jobs.bronze_to_silver(spark, f"{base}/bronze", "unused", table="lake.silver.orders")
+    assert run.merge is None and said[0][1] == "lake.silver.orders" and "order_date" in said[0][0]
+    monkeypatch.undo()
+    with pytest.raises(Exception, match="(?i)merge|not found|cannot be found"):
+        jobs.merge_into(spark.range(1).selectExpr("id AS order_id", "now() AS order_timestamp"), "nowhere")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("silver_rows_")]
+
+
+def test_new_command_line_arguments():
+    args = cli.parser().parse_args(["landing-to-bronze", "--landing", "l", "--bronze", "b", "--checkpoint", "c",
+                                    "--max-bytes", "5"])
+    assert (args.max_bytes, args.max_file_age) == (5, "36500d")
+    args = cli.parser().parse_args(["bronze-to-silver", "--bronze", "b", "--silver", "s", "--source-is-small",
+                                    "--table", "t"])
+    assert args.source_is_small and not args.count_read and args.table == "t"

@@ -43,10 +43,10 @@ def test_hour_bucket_pads_and_line_total_rounds(spark):
     assert row.t == pytest.approx(1.0, abs=0.011)
 
 
-def test_schema_file_becomes_a_struct(tmp_path):
+def test_schema_file_becomes_a_struct(spark, tmp_path):
     path = tmp_path / "record.json"
     path.write_text(ORDER_SCHEMA_JSON)
-    assert struct_from_record(load_record_schema(str(path))) == EVENT
+    assert struct_from_record(load_record_schema(spark, str(path))) == EVENT
 
 
 @pytest.mark.parametrize("bad", ['{"type": "string"}', '{"type":"record","name":"r","fields":'

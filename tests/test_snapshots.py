@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import SCHEMA, T1, T2, brute_force, random_rows, record, rows
 
+from contract.scratch import scratch_dir
 from ingotflow import storage
 from ingotflow.sinks.catalog import (
     create_databases,
@@ -171,8 +172,8 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
                                conf=SimpleNamespace(get=lambda key, default: settings.get("dir")))
 
     shared = session("spark://host:7077", dir="hdfs:///shared/")
-    assert storage.scratch_dir(shared, "x").startswith("hdfs:///shared/x-")
-    assert storage.scratch_dir(shared, "x") != storage.scratch_dir(shared, "x")
+    assert scratch_dir(shared, "x").startswith("hdfs:///shared/x-")
+    assert scratch_dir(shared, "x") != scratch_dir(shared, "x")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        storage.scratch_dir(session("spark://host:7077"), "x")
-    assert storage.scratch_dir(session("local[2]"), "x")
+        scratch_dir(session("spark://host:7077"), "x")
+    assert scratch_dir(session("local[2]"), "x")
