@@ -7,11 +7,10 @@ of one is a hash of ``MINIMA`` minima, so two sets of similarity J agree in a co
 * Post: each class under each coordinate-value pair. By the prefix filter, a pair that agrees in
   ``MATCHES`` coordinates shares one of all but the last ``MATCHES - 1``; only those are posted.
 * Merge: a list of up to ``SHORT`` classes gives all its pairs. A longer one gives its members paired with
-  its first member, the hub. Members that prove linked to the hub are in its component and skipped. The
-  rest go on under finer pairs (this coordinate and a later one), where a pair with ``MATCHES`` agreements
-  meets again, and there all pairs of a list are taken.
-  By the triangle inequality of the Jaccard distance, a skipped member can have a link to one of the rest
-  only if that one's similarity to the hub is over ``2 * threshold - 1``; a list with such a member skips none.
+  its first and its last, the hubs. What proves linked forms components, and in each long list only pairs
+  across components are still open, since a link inside one changes nothing: the members outside the
+  list's largest component are paired with all the others. Where they are more than ``FEW``, the list is
+  first split by each later coordinate; a pair with ``MATCHES`` agreements meets again in one of these.
 * Count: the coordinates in which a pair agrees; pairs with fewer than ``MATCHES`` are dropped.
 * Confirm: the rest are compared on their full sets, rebuilt from the texts.
 
@@ -29,13 +28,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ingotflow.llm.common import map_slices, written
 from ingotflow.llm.components import connected_components
 
-COORDINATES, MINIMA, MATCHES, SHORT = 32, 4, 2, 8
+COORDINATES, MINIMA, MATCHES, SHORT, FEW = 32, 4, 2, 8, 32
 PERCENT = 80
 
 _SPACE = np.zeros(256, bool)
@@ -154,34 +153,52 @@ def set_rows(df: DataFrame, size: int) -> DataFrame:
 
 
 def lists_of(postings: DataFrame) -> DataFrame:
-    """The postings of lists with two members or more, with the list's length and hub."""
-    lists = (postings.groupBy("key").agg(F.count("*").alias("length"), F.min("id").alias("hub"))
-             .where("length > 1"))
+    """The postings of lists with two members or more, with the list's length and hubs."""
+    lists = postings.groupBy("key").agg(F.count("*").alias("length"), F.min("id").alias("first"),
+                                        F.max("id").alias("last")).where("length > 1")
     return postings.join(lists, "key")
 
 
+def fits() -> Column:
+    """Whether the sizes of two sets allow a link."""
+    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
+
+
 def all_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of each list whose sizes allow a link."""
+    """All pairs of each list."""
     a, b = (members.select("key", F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    return a.join(b, "key").where((F.col("a") < F.col("b")) & fits).select("a", "b")
+    return a.join(b, "key").where((F.col("a") < F.col("b")) & fits()).select("a", "b")
+
+
+def with_main(members: DataFrame) -> DataFrame:
+    """The members of lists with several components, with the largest one and the number outside it."""
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
+    lists = (sizes.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"),
+                                      (F.sum("size") - F.max("size")).alias("outside")).where("outside > 0"))
+    return members.join(lists, "key")
+
 
+def open_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of each list that lie in different components."""
+    a, b = (members.select("key", "main", F.col("id").alias(x), F.col("n").alias(f"n_{x}"),
+                           F.col("component").alias(f"component_{x}")) for x in "ab")
+    return (a.where("component_a <> main").join(b.drop("main"), "key")
+            .where((F.col("component_a") != F.col("component_b")) & fits())
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
-def compared(pairs: DataFrame, df: DataFrame, size: int) -> DataFrame:
-    """``a, b``, whether they are ``linked``, and whether they are ``close``: near enough that a third
-    document may be linked with both."""
+
+def confirmed(pairs: DataFrame, df: DataFrame, size: int) -> DataFrame:
+    """The pairs ``a, b`` that agree in enough coordinates and whose full sets are similar enough."""
+    pairs = written(pairs.distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = written(set_rows(df.join(ids, "doc_id", "left_semi"), size), "sets")
     a, b = (sets.select(F.col("doc_id").alias(x), F.col("signature").alias(f"signature_{x}"),
                         F.col("shingles").alias(f"shingles_{x}")) for x in "ab")
+    matches = F.size(F.filter(F.zip_with("signature_a", "signature_b", lambda x, y: x == y), lambda x: x))
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
     together = F.size("shingles_a") + F.size("shingles_b") - F.col("shared")
-    matches = F.size(F.filter(F.zip_with("signature_a", "signature_b", lambda x, y: x == y), lambda x: x))
-    return (pairs.join(a, "a").join(b, "b").withColumn("matches", matches)
-            .withColumn("shared", F.when(F.col("matches") >= MATCHES, shared).otherwise(0))
-            .select("a", "b", (F.col("shared") * 100 >= together * PERCENT).alias("linked"),
-                    (F.col("shared") * 100 > together * (2 * PERCENT - 100)).alias("close"))
-            .groupBy("a", "b").agg(F.max("linked").alias("linked"), F.max("close").alias("close")))
+    return written(pairs.join(a, "a").join(b, "b").where(matches >= MATCHES).withColumn("shared", shared)
+                   .where(F.col("shared") * 100 >= together * PERCENT).select("a", "b").distinct(), "links")
 
 
 def find_links(df: DataFrame, classes: DataFrame, size: int) -> DataFrame:
@@ -189,23 +206,24 @@ def find_links(df: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     coordinates = F.posexplode(F.slice("signature", 1, COORDINATES - MATCHES + 1)).alias("at", "key")
     members = written(lists_of(classes.select("id", "n", coordinates)), "lists")
     short, long = members.where(F.col("length") <= SHORT), members.where(F.col("length") > SHORT)
-    stars = long.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    first = written(compared(written(all_pairs(short).union(stars).distinct(), "pairs"), df, size), "compared")
-    links = first.where("linked").select("a", "b")
+    stars = [long.where(F.col("id") != F.col(hub)).select(
+        F.least("id", hub).alias("a"), F.greatest("id", hub).alias("b")) for hub in ("first", "last")]
+    links = confirmed(all_pairs(short).union(stars[0]).union(stars[1]), df, size)
     if long.isEmpty():
         return links
-    met = long.join(first, (long["hub"] == first["a"]) & (long["id"] == first["b"]), "left").select(
-        long["key"], "at", "id", "n", (F.coalesce("linked", F.lit(False)) | (long["id"] == long["hub"])).alias("done"),
-        (F.coalesce("close", F.lit(False)) & ~F.coalesce("linked", F.lit(False))).alias("ring"))
-    rings = met.groupBy("key").agg(F.max("ring").alias("any_ring"), F.count_if(~F.col("done")).alias("left"))
-    rest = (met.join(rings.where("left > 0"), "key").where(F.col("any_ring") | ~F.col("done"))
-            .select("key", "at", "id", "n"))
-    finer = (rest.join(classes.select("id", "signature"), "id")
-             .select("id", "n", "key", F.explode(F.slice(
-                 "signature", F.col("at") + 2, F.lit(COORDINATES))).alias("later"))
-             .select("id", "n", F.xxhash64("key", "later").alias("key")).distinct())
-    second = written(all_pairs(lists_of(finer)).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    return links.union(compared(second, df, size).where("linked").select("a", "b"))
+    found = connected_components(links)
+    split = written(with_main(
+        long.join(found, F.col("id") == F.col("node"), "left")
+        .select("key", "at", "id", "n", F.coalesce("component", "id").alias("component"))), "open")
+    if split.isEmpty():
+        return links
+    later = F.slice("signature", F.col("at") + 2, F.lit(COORDINATES))
+    finer = (split.where(F.col("outside") > FEW).drop("main", "outside")
+             .join(classes.select("id", "signature"), "id")
+             .select("id", "n", "component", "key", F.explode(later).alias("later"))
+             .select("id", "n", "component", F.xxhash64("key", "later").alias("key")))
+    pairs = open_pairs(split.where(F.col("outside") <= FEW)).union(open_pairs(with_main(finer)))
+    return links.union(confirmed(pairs, df, size))
 
 
 def near_duplicates(df: DataFrame, size: int = 2) -> DataFrame:

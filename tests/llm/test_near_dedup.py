@@ -69,9 +69,11 @@ def test_equals_brute_force(spark, size, seed):
     assert sorted(map(tuple, near_dedup.near_duplicates(df, size).collect())) == brute_force(rows, size)
 
 
-def test_long_lists(spark, monkeypatch):
-    """Every list is long: stars, rings and finer lists alone must find all links."""
+@pytest.mark.parametrize("few", [0, 1000])
+def test_long_lists(spark, monkeypatch, few):
+    """Every list is long: stars and open pairs, of whole or of split lists, must find all links."""
     monkeypatch.setattr(near_dedup, "SHORT", 1)
+    monkeypatch.setattr(near_dedup, "FEW", few)
     rnd = random.Random(5)
     base = [f"w{rnd.randrange(3000)}" for _ in range(250)]
     texts = [" ".join(edited(rnd, base, share)) for share in [.0, .02, .03, .05, .06, .07, .09] * 9]
