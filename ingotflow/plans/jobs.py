@@ -126,9 +126,9 @@ class SilverRun:
     figures and may count rows again that a lost executor made Spark recompute."""
 
     rows_read: int | None  # only counted on request
-    rows_valid: int
-    rows_latest: int
-    merge: MergeResult | None  # none if a catalog table's own MERGE did it
+    rows_valid: int | None  # these three are none if a catalog table's own MERGE did it
+    rows_latest: int | None
+    merge: MergeResult | None
 
 
 def merge_into(rows: DataFrame, table: str) -> None:
@@ -172,13 +172,13 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, profile: str
     the run's rows are few next to the table's: they are staged, and the target's keys reduced to theirs
     before joining. ``count_read`` also counts the rows read, which keeps the validity filter from
     being pushed into the scan. ``table`` names a catalog table whose format supports ``MERGE``; it is
-    then merged into instead of the snapshots below ``silver``.
+    then merged into instead of the snapshots below ``silver``, and nothing is counted.
     """
     shape = PROFILES[profile]
     counts: dict[str, Observation] = {}
 
     def observe(name: str, df: DataFrame) -> DataFrame:
-        if name == "read" and not count_read:
+        if table is not None or name == "read" and not count_read:
             return df
         counts[name] = Observation()
         return df.observe(counts[name], F.count(F.lit(1)).alias("rows"))
