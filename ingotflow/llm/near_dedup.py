@@ -9,8 +9,9 @@ of one is a hash of ``MINIMA`` minima, so two sets of similarity J agree in a co
 * Merge: a list of up to ``SHORT`` classes gives all its pairs. A longer one gives its members paired with
   its first and its last, the hubs. What proves linked forms components, and in each long list only pairs
   across components are still open, since a link inside one changes nothing: the members outside the
-  list's largest component are paired with all the others. Where they are more than ``FEW``, the list is
-  first split by each later coordinate; a pair with ``MATCHES`` agreements meets again in one of these.
+  list's largest component are compared with all the others, in blocks, so that a set is sent once per
+  block and not once per pair. Where they are more than ``FEW``, the list is first split by each later
+  coordinate; a pair with ``MATCHES`` agreements meets again in one of these.
 * Count: the coordinates in which a pair agrees; pairs with fewer than ``MATCHES`` are dropped.
 * Confirm: the rest are compared on their full sets, rebuilt from the texts.
 
@@ -34,7 +35,9 @@ from pyspark.sql import functions as F
 from ingotflow.llm.common import map_slices, written
 from ingotflow.llm.components import connected_components
 
-COORDINATES, MINIMA, MATCHES, SHORT, FEW = 32, 4, 2, 8, 32
+COORDINATES, MINIMA, MATCHES, SHORT, FEW = 32, 4, 2, 8, 1024
+#: Members of a block that meets a block of up to ``FEW`` others.
+BLOCK = 512
 PERCENT = 80
 
 _SPACE = np.zeros(256, bool)
@@ -174,24 +177,71 @@ def with_main(members: DataFrame) -> DataFrame:
     """The members of lists with several components, with the largest one and the number outside it."""
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
     lists = (sizes.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"),
+                                      F.sum("size").alias("length"),
                                       (F.sum("size") - F.max("size")).alias("outside")).where("outside > 0"))
     return members.join(lists, "key")
 
 
-def open_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of each list that lie in different components."""
-    a, b = (members.select("key", "main", F.col("id").alias(x), F.col("n").alias(f"n_{x}"),
-                           F.col("component").alias(f"component_{x}")) for x in "ab")
-    return (a.where("component_a <> main").join(b.drop("main"), "key")
-            .where((F.col("component_a") != F.col("component_b")) & fits())
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-
-
-def confirmed(pairs: DataFrame, df: DataFrame, size: int) -> DataFrame:
+def shared_counts(left: pa.ListArray, right: pa.ListArray) -> np.ndarray:
+    """How many elements each set of the one side shares with each of the other."""
+    rows = [np.repeat(np.arange(len(x)), np.diff(x.offsets.to_numpy())) for x in (left, right)]
+    values = [x.flatten().to_numpy() for x in (left, right)]
+    both = np.intersect1d(*map(np.unique, values), assume_unique=True)
+    at = [np.searchsorted(both, v) for v in values]
+    kept = [(a < len(both)) & (both[np.minimum(a, len(both) - 1)] == v) if len(both) else np.zeros(len(v), bool)
+            for a, v in zip(at, values)]
+    at, rows = ([x[k] for x, k in zip(side, kept)] for side in (at, rows))
+    counts = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(both), 4096):
+        dense = []
+        for a, r, n in zip(at, rows, counts.shape):
+            inside = (a >= start) & (a < start + 4096)
+            dense.append(np.zeros((n, 4096), np.float32))
+            dense[-1][r[inside], a[inside] - start] = 1
+        counts += dense[0] @ dense[1].T
+    return counts.astype(np.int64)
+
+
+def block_links(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The links ``a, b`` between two blocks that lie in different components."""
+    a = b = np.empty(0, np.int64)
+    if left.num_rows and right.num_rows:
+        left, right = left.combine_chunks(), right.combine_chunks()
+        sets = [t["shingles"].combine_chunks() for t in (left, right)]
+        shared = shared_counts(*sets)
+        sizes = [np.diff(x.offsets.to_numpy()) for x in sets]
+        together = sizes[0][:, None] + sizes[1] - shared
+        other = left["component"].to_numpy()[:, None] != right["component"].to_numpy()
+        i, j = np.nonzero((shared * 100 >= together * PERCENT) & other & (shared > 0))
+        a, b = left["id"].to_numpy()[i], right["id"].to_numpy()[j]
+    return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def open_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links of each list between its largest component's outsiders and all its other components."""
+    held = (members.select("key", "id", "component", "main", "outside", "length")
+            .join(sets.select(F.col("doc_id").alias("id"), "shingles"), "id"))
+    n_left = F.ceil(F.col("outside") / FEW).cast("int")
+    n_right = F.ceil(F.col("length") / BLOCK).cast("int")
+    own = F.xxhash64("id")
+
+    def grid(side: DataFrame, left: Column, right: Column) -> DataFrame:
+        names = ["key", "id", "component", "shingles", "left", "right"]
+        return side.select(*names[:4], left.alias("left"), right.alias("right")).select(
+            *(F.col(n).alias(f"_{n}") for n in names)).toDF(*names)  # new columns, for the self join
+
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    outsiders = grid(held.where("component <> main"), F.pmod(own, n_left).cast("int"), every(n_right))
+    rest = grid(held, every(n_left), F.pmod(own, n_right).cast("int"))
+    block = ["key", "left", "right"]
+    return (outsiders.groupBy(*block).cogroup(rest.groupBy(*block))
+            .applyInArrow(block_links, "a long, b long").distinct())
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that agree in enough coordinates and whose full sets are similar enough."""
-    pairs = written(pairs.distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = written(set_rows(df.join(ids, "doc_id", "left_semi"), size), "sets")
     a, b = (sets.select(F.col("doc_id").alias(x), F.col("signature").alias(f"signature_{x}"),
                         F.col("shingles").alias(f"shingles_{x}")) for x in "ab")
     matches = F.size(F.filter(F.zip_with("signature_a", "signature_b", lambda x, y: x == y), lambda x: x))
@@ -208,22 +258,23 @@ def find_links(df: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     short, long = members.where(F.col("length") <= SHORT), members.where(F.col("length") > SHORT)
     stars = [long.where(F.col("id") != F.col(hub)).select(
         F.least("id", hub).alias("a"), F.greatest("id", hub).alias("b")) for hub in ("first", "last")]
-    links = confirmed(all_pairs(short).union(stars[0]).union(stars[1]), df, size)
+    pairs = written(all_pairs(short).union(stars[0]).union(stars[1]).distinct(), "pairs")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = written(set_rows(df.join(ids, "doc_id", "left_semi"), size), "sets")
+    links = confirmed(pairs, sets)
     if long.isEmpty():
         return links
     found = connected_components(links)
     split = written(with_main(
         long.join(found, F.col("id") == F.col("node"), "left")
         .select("key", "at", "id", "n", F.coalesce("component", "id").alias("component"))), "open")
-    if split.isEmpty():
-        return links
     later = F.slice("signature", F.col("at") + 2, F.lit(COORDINATES))
-    finer = (split.where(F.col("outside") > FEW).drop("main", "outside")
+    finer = (split.where(F.col("outside") > FEW).select("key", "at", "id", "component")
              .join(classes.select("id", "signature"), "id")
-             .select("id", "n", "component", "key", F.explode(later).alias("later"))
-             .select("id", "n", "component", F.xxhash64("key", "later").alias("key")))
-    pairs = open_pairs(split.where(F.col("outside") <= FEW)).union(open_pairs(with_main(finer)))
-    return links.union(confirmed(pairs, df, size))
+             .select("id", "component", "key", F.explode(later).alias("later"))
+             .select("id", "component", F.xxhash64("key", "later").alias("key")))
+    few = split.where(F.col("outside") <= FEW)
+    return links.union(open_links(few, sets)).union(open_links(with_main(finer), sets))
 
 
 def near_duplicates(df: DataFrame, size: int = 2) -> DataFrame:
