@@ -9,8 +9,8 @@ of one is a hash of ``MINIMA`` minima, so two sets of similarity J agree in a co
 * Merge: a list of up to ``SHORT`` classes gives all its pairs. A longer one gives its members paired with
   its first and its last, the hubs. What proves linked forms components, and in each long list only pairs
   across components are still open, since a link inside one changes nothing: the members outside the
-  list's largest component are compared with all the others, in blocks, so that a set is sent once per
-  block and not once per pair. Where they are more than ``FEW``, the list is first split by each later
+  list's largest component are compared with all the others. This is done for all lists of one such
+  component together, and in blocks, so that a set is sent once per block, not per list or pair. Where they are more than ``FEW``, the list is first split by each later
   coordinate; a pair with ``MATCHES`` agreements meets again in one of these.
 * Count: the coordinates in which a pair agrees; pairs with fewer than ``MATCHES`` are dropped.
 * Confirm: the rest are compared on their full sets, rebuilt from the texts.
@@ -217,6 +217,14 @@ def block_links(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
+def by_main(lists: DataFrame) -> DataFrame:
+    """The lists of ``with_main`` that share a largest component, as one list each."""
+    rows = lists.select(F.col("main").alias("key"), "id", "component").distinct()
+    counts = rows.groupBy("key").agg(F.count("*").alias("length"),
+                                     F.count_if(F.col("component") != F.col("key")).alias("outside"))
+    return rows.join(counts, "key").withColumn("main", F.col("key"))
+
+
 def open_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """The links of each list between its largest component's outsiders and all its other components."""
     held = (members.select("key", "id", "component", "main", "outside", "length")
@@ -274,7 +282,7 @@ def find_links(df: DataFrame, classes: DataFrame, size: int) -> DataFrame:
              .select("id", "component", "key", F.explode(later).alias("later"))
              .select("id", "component", F.xxhash64("key", "later").alias("key")))
     few = split.where(F.col("outside") <= FEW)
-    return links.union(open_links(few, sets)).union(open_links(with_main(finer), sets))
+    return links.union(open_links(by_main(few), sets)).union(open_links(with_main(finer), sets))
 
 
 def near_duplicates(df: DataFrame, size: int = 2) -> DataFrame:
