@@ -37,14 +37,21 @@ def bands_for(similarity: float, missed: float) -> int:
     return math.ceil(math.log(missed) / math.log(1 - similarity))
 
 
+def words_of(text: str) -> Column:
+    return F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
+
+
+def shingles_of(words: str, size: int) -> Column:
+    """The shingles of a column of at least ``size`` hashed words."""
+    at = F.sequence(F.lit(0), F.size(words) - size)
+    return F.transform(at, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(size))))
+
+
 def shingled(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """``id`` and the array of ``shingles`` of each row, in the order of their positions."""
-    words = F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
     hashed = (df.where(F.col(key).isNotNull() & F.col(text).isNotNull())
-              .select(F.col(key).alias("id"), F.transform(words, lambda w: F.xxhash64(w)).alias("words")))
-    at = F.sequence(F.lit(0), F.size("words") - size)
-    return hashed.where(F.size("words") >= size).select("id", F.transform(
-        at, lambda i: F.xxhash64(*(F.get("words", i + k) for k in range(size)))).alias("shingles"))
+              .select(F.col(key).alias("id"), F.transform(words_of(text), lambda w: F.xxhash64(w)).alias("words")))
+    return hashed.where(F.size("words") >= size).select("id", shingles_of("words", size).alias("shingles"))
 
 
 def _cell(shingle: Column) -> Column:

@@ -33,7 +33,7 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document."""
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    return license_scan.notices(table(spark, sf_dir, "documents"))
 
 
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,6 +142,25 @@ def test_licenses(spark):
     assert (exact.license, exact.first_word, exact.last_word) == ("MIT", 0, 5)
 
 
+def test_notices_tell_versions_apart(spark):
+    gpl = ("you can redistribute it and/or modify it under the terms of the GNU %sGeneral Public License as published "
+           "by the Free Software Foundation, either version %s of the License, or any later version.")
+    short = "Before it. This work is licensed under the GNU General Public License, version %s. And after it."
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. %s. And more."
+    gap = " words in between" * 20 + " "
+    rows = [(1, short % 3), (2, short % 2), (3, short % 2 + gap + short % 3), (4, short % 4),
+            (5, gpl % ("", 3)), (6, gpl % ("", 2)), (7, gpl % ("Lesser ", 3) + gap + gpl % ("", 2)),
+            (8, mpl % "2.0"), (9, mpl % "1.1"), (10, (short % 3).replace("This", "The")), (11, None),
+            (12, "Released under the MIT License.")]
+    found = license_scan.notices(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by_id = {i: {r.license for r in found if r.doc_id == i} for i, _ in rows}
+    assert "GPL-2.0" not in by_id[1] and "GPL-3.0" not in by_id[2] | by_id[6] | by_id[7]
+    assert by_id[1] == by_id[5] == by_id[10] == {"GPL-3.0"} and by_id[3] == {"GPL-2.0", "GPL-3.0"}
+    assert not by_id[4] and not by_id[9] and not by_id[11]
+    assert by_id[2] == by_id[6] == {"GPL-2.0"} and by_id[7] == {"LGPL-3.0", "GPL-2.0"} and by_id[8] == {"MPL-2.0"} and by_id[12] == {"MIT"}
+    assert {(r.first_word, r.last_word) for r in found if r.doc_id == 3 and r.license == "GPL-2.0"} == {(2, 14)}
+
+
 def test_bands_guarantee_collisions():
     bands = containment.bands_for(0.2, 1e-6)
     assert 0.8 ** bands <= 1e-6 < 0.8 ** (bands - 1)
