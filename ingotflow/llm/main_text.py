@@ -2,7 +2,9 @@
 
 The markup is read once, tag by tag. Block-level tags and ``<br>`` end a line; other tags vanish without
 a space. What is inside scripts, styles, forms, menus, headers, footers, asides, or inside an element
-whose role, class or id names such a part (adverts, notices, comments, ...), belongs to no line. Each line
+whose role, class or id names such a part (adverts, notices, comments, ...), belongs to no line. A form or a so named element may also wrap the text itself: if a
+page gives none otherwise, the one with the most text of its own (in an article, if any) is opened, with those around
+it, and the page read again. Each line
 then has a length: if the page marks its article (``<article>``, ``<main>``), the characters of its text
 inside and none outside; else the characters of its text outside links.
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,7 +41,9 @@ BLOCKS = frozenset(
     "section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no main text.
-CLUTTER = frozenset("head title nav header footer aside form menu button select dialog figcaption".split())
+CLUTTER = frozenset("head title nav header footer aside form menu button select dialog".split())
+#: First parts of names like ``has-sidebar`` and ``no-comments``, which are of other elements than they name.
+ABOUT = frozenset("has have with without no not is hide show".split())
 #: Their text counts as main text when the page has them.
 ARTICLE = frozenset(["article", "main"])
 #: Words in a class, id or role that mark clutter.
@@ -53,47 +58,87 @@ NAME_PART = re.compile(r"[a-z]+", re.I)
 SPACE = re.compile(r"\s+")
 
 
-def is_clutter(tag: str, attributes: str, in_article: bool) -> bool:
+def is_named_clutter(attributes: str) -> bool:
+    for found in NAMED.finditer(attributes):
+        for name in (found[1] or found[2] or found[3] or "").split():
+            parts = NAME_PART.findall(name.lower())
+            if parts and parts[0] not in ABOUT and not CLUTTER_WORDS.isdisjoint(parts):
+                return True
+    return False
+
+
+def clutter_kind(tag: str, attributes: str, in_article: bool) -> str | None:
+    """``wrapper`` if the clutter may wrap the page's text, else ``part``."""
     if tag in CLUTTER:
-        return not (tag == "header" and in_article)
+        return "wrapper" if tag == "form" else None if tag == "header" and in_article else "part"
     if tag in ("body", "html", "article", "main") or not attributes:
-        return False
-    return bool(HIDDEN.search(attributes)) or any(
-        part.lower() in CLUTTER_WORDS for found in NAMED.finditer(attributes)
-        for part in NAME_PART.findall(found[1] or found[2] or found[3] or ""))
+        return None
+    if HIDDEN.search(attributes):
+        return "part"
+    return "wrapper" if is_named_clutter(attributes) else None
+
+
+@dataclass
+class Wrapper:
+    """A clutter element that may be opened, and the characters of its own text."""
+
+    form: bool
+    around: int | None
+    in_article: int = 0
+    outside_links: int = 0
 
 
-def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """``(text, characters outside links, in an article)`` of each line, and whether there is an article."""
+def lines_of(html: str, opened: frozenset[int] = frozenset()
+             ) -> tuple[list[tuple[str, int, bool]], bool, list[Wrapper]]:
+    """``(text, characters outside links, in an article)`` of each line, whether there is an article, and
+    the wrappers of the page. Wrappers in ``opened`` are no clutter."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked: list[str] = []
     stack: list[str] = []
-    clutter_at = article_at = link_at = None  # depth of the element that began it
+    wrappers: list[Wrapper] = []
+    inside: list[tuple[int, int]] = []  # depth and number of each wrapper that is open and clutter
+    around: list[tuple[int, int]] = []  # of each wrapper that is open
+    part_at = article_at = wrapped_at = link_at = None  # depth of the element that began it
     any_article = False
 
     def end_line() -> None:
         if parts:
             text = SPACE.sub(" ", references.unescape("".join(parts))).strip()
             if text:
-                inside = len(SPACE.sub(" ", references.unescape("".join(linked))).strip())
-                lines.append((text, max(len(text) - inside, 0), article_at is not None))
+                links = len(SPACE.sub(" ", references.unescape("".join(linked))).strip())
+                lines.append((text, max(len(text) - links, 0), article_at is not None))
             parts.clear()
             linked.clear()
 
     def close_to(depth: int) -> None:
-        nonlocal clutter_at, article_at, link_at
+        nonlocal part_at, article_at, wrapped_at, link_at
         del stack[depth:]
-        clutter_at = None if clutter_at is not None and clutter_at >= depth else clutter_at
+        part_at = None if part_at is not None and part_at >= depth else part_at
         article_at = None if article_at is not None and article_at >= depth else article_at
+        wrapped_at = None if wrapped_at is not None and wrapped_at >= depth else wrapped_at
         link_at = None if link_at is not None and link_at >= depth else link_at
+        for some in (inside, around):
+            while some and some[-1][0] >= depth:
+                some.pop()
+
+    def take(text: str) -> None:
+        if part_at is not None:
+            return
+        if inside:
+            own = wrappers[inside[-1][1]]
+            size = len(text.strip())
+            own.in_article += size if wrapped_at is not None else 0
+            own.outside_links += size if link_at is None else 0
+            return
+        parts.append(text)
+        if link_at is not None:
+            linked.append(text)
 
     at = 0
     for found in TAG.finditer(html):
-        if clutter_at is None and found.start() > at:
-            parts.append(html[at:found.start()])
-            if link_at is not None:
-                linked.append(html[at:found.start()])
+        if found.start() > at:
+            take(html[at:found.start()])
         at = found.end()
         if not found[3]:
             continue
@@ -108,21 +153,55 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 close_to(len(stack) - 1 - stack[::-1].index("p"))
             depth = len(stack)
             stack.append(tag)
-            if clutter_at is None and is_clutter(tag, found[4], article_at is not None):
-                clutter_at = depth
-            if tag in ARTICLE and article_at is None and clutter_at is None:
-                article_at, any_article = depth, True
+            kind = None if part_at is not None else clutter_kind(tag, found[4], article_at is not None or wrapped_at is not None)
+            if kind == "part":
+                part_at = depth
+            elif kind:
+                number = len(wrappers)
+                wrappers.append(Wrapper(tag == "form", around[-1][1] if around else None))
+                around.append((depth, number))
+                if number not in opened:
+                    inside.append((depth, number))
+            if tag in ARTICLE and part_at is None:
+                if inside:
+                    wrapped_at = depth if wrapped_at is None else wrapped_at
+                elif article_at is None:
+                    article_at, any_article = depth, True
             if tag == "a" and link_at is None:
                 link_at = depth
-    if clutter_at is None and at < len(html):
-        parts.append(html[at:])
+    if at < len(html):
+        take(html[at:])
     end_line()
-    return lines, any_article
+    return lines, any_article, wrappers
+
+
+def wrappers_of_text(lines: list[tuple[str, int, bool]], marked: bool, wrappers: list[Wrapper]) -> frozenset[int]:
+    """The wrapper that holds the page's text, with those around it; none if the text lies outside."""
+    if not wrappers or marked and any(inside for _, _, inside in lines):
+        return frozenset()
+    best = max(range(len(wrappers)), key=lambda k: (wrappers[k].in_article, wrappers[k].outside_links))
+    if not wrappers[best].in_article and not marked:
+        kept = sum(free for _, free, _ in lines)
+        best = max(range(len(wrappers)), key=lambda k: wrappers[k].outside_links)
+        form = max((k for k in range(len(wrappers)) if wrappers[k].form), default=None,
+                   key=lambda k: wrappers[k].outside_links)
+        if kept >= LEAST:
+            best = form if form is not None and wrappers[form].outside_links > kept else None
+        if best is None or wrappers[best].outside_links < LEAST:
+            return frozenset()
+    opened = set()
+    at: int | None = best
+    while at is not None:
+        opened.add(at)
+        at = wrappers[at].around
+    return frozenset(opened)
 
 
 def extract(html: str | None) -> str:
     """The main text of one page."""
-    lines, marked = lines_of(html or "")
+    lines, marked, wrappers = lines_of(html or "")
+    if opened := wrappers_of_text(lines, marked, wrappers):
+        lines, marked, _ = lines_of(html or "", opened)
     lengths = [(len(text) if inside else 0) if marked else free for text, free, inside in lines]
     sums = [sum(lengths[i:i + WINDOW]) for i in range(len(lengths))]
     threshold = 1 if marked else min(LEAST, max(sums, default=0)) or 1

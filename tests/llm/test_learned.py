@@ -150,6 +150,27 @@ def test_surge_and_dive_without_article():
     assert main_text.extract(page) == " ".join(["Real prose goes here in some length. " * 5] * 3).replace("  ", " ").strip()
 
 
+@pytest.mark.parametrize("opening", [
+    "<div class='container has-sidebar'>", "<div class='with-nav'>", "<div class='no-comments'>", "<div id='header-wrap'>",
+    "<form action='x'>", "<div role='search'>", "<div class='related'><form>", "<section class='share-layout'><div>"])
+def test_text_inside_a_wrapper(opening):
+    comments = "<div class='comments'><article>%s</article></div>" % ("So I think. " * 3)
+    expected = "Title & all One bold word <tag>. Line item Last"
+    assert main_text.extract(PAGE % f"{opening}<article>{BODY}</article>{comments}</div>") == expected
+    long = "Real prose goes here in some length. " * 9
+    page = PAGE % f"{opening}<nav>Menu</nav>" + f"<p>{long}</p>" * 3
+    assert main_text.extract(page.replace("</body></html>", "")).count("Real prose") == 27
+    page = f"<html><body>{opening}<p>{long}</p><p>{long}</p></div></form></body></html>"
+    assert main_text.extract(page) == " ".join([long.strip()] * 2)
+
+
+def test_comments_stay_out_and_captions_in():
+    comments = "<div class='comments'><article>%s</article></div>" % ("So I think. " * 30)
+    assert main_text.extract(PAGE % f"{comments}<article>Short.</article>{comments}") == "Short."
+    figure = "<figure><img src=x><figcaption>A river</figcaption></figure>"
+    assert main_text.extract(f"<article><p>One</p>{figure}<p>Two</p></article>") == "One A river Two"
+
+
 @pytest.mark.parametrize("page", [None, "", "<html>", "<!-- open", "<script>x", "<p", "</p></p>", "<a href='"])
 def test_pages_without_text(page):
     assert main_text.extract(page) == ""
