@@ -137,7 +137,9 @@ def notices(documents: DataFrame, known: DataFrame | None = None, size: int = SH
     marked = marks.select("template_id").distinct()
     doubtful = found.join(marked, "template_id", "left_semi").select(key, "template_id", "license")
 
-    words = (shingled(documents.join(doubtful.select(key).distinct(), key, "left_semi"), key, "text", size)
+    # written, since a filter inferred from the explosion would build all words again for each shingle
+    texts = documents.join(doubtful.select(key).distinct(), key, "left_semi")
+    words = (written(shingled(texts, key, "text", size), "texts")
              .select(F.col("id").alias(key), F.xxhash64("shingles").alias("row"),
                      F.posexplode("shingles").alias("word", "shingle")))
     hits = words.join(marks, "shingle").join(doubtful, [key, "template_id"])
