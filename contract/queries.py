@@ -35,6 +35,7 @@ from ingotflow.operators.enrich import (
 from ingotflow.operators.upsert import merge_latest
 from ingotflow.plans import jobs
 from ingotflow.schemas import (
+    BRONZE_STREAM,
     EVENT,
     EVENT_COLUMNS,
     ORDER_SCHEMA_JSON,
@@ -52,9 +53,9 @@ from ingotflow.sources.tables import (
     read_path,
     silver_table,
 )
-from ingotflow.sources.topic import read_topic_files
+from ingotflow.sources.topic import read_topic_files, write_topic_files
 from ingotflow.storage import delete_tree, write_new_text
-from ingotflow.streaming.sinks import FLUSH_ROWS
+from ingotflow.streaming.sinks import FLUSH_ROWS, run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,6 +176,22 @@ def gold_top_products(spark, sf_dir):
     return gold.top_products(_silver(spark, sf_dir, PRODUCTS))
 
 
+@query(f"SELECT count(*) AS row_count, round(sum(revenue), 2) AS revenue, true AS in_order FROM ({TOP_SQL})")
+def top_products_order(spark, sf_dir):
+    """Whether no product stands behind one of less revenue, in its partition or in the next one."""
+    top = gold.top_products(_silver(spark, sf_dir, PRODUCTS)).select(
+        "revenue", F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("part"))
+    in_part = Window.partitionBy("part").orderBy("at")
+    falls = F.coalesce(F.lag("revenue").over(in_part) >= F.col("revenue"), F.lit(True))
+    parts = top.withColumn("falls", falls).groupBy("part").agg(
+        F.count("*").alias("rows"), F.sum("revenue").alias("sum"), F.every("falls").alias("falls"),
+        F.max("revenue").alias("highest"), F.min("revenue").alias("lowest"))
+    next_falls = F.coalesce(F.lag("lowest").over(Window.orderBy("part")) >= F.col("highest"), F.lit(True))
+    return parts.withColumn("next", next_falls).agg(  # one row per partition
+        F.sum("rows").alias("row_count"), F.round(F.sum("sum"), 2).alias("revenue"),
+        F.every(F.col("falls") & F.col("next")).alias("in_order"))
+
+
 # -- silver transforms -----------------------------------------------------------------------
 
 @query(f"SELECT order_id, order_timestamp, cast(order_timestamp AS date) AS order_date "
@@ -344,6 +361,18 @@ def silver_merge_small_source(spark, sf_dir):
     return _two_batches(spark, sf_dir, source_is_small=True).read().select(*SILVER_OUT)
 
 
+@query(MERGED_SQL)
+def silver_merge_bucketed(spark, sf_dir):
+    """The second arrival in two halves, merged over bucketed keys, then once more."""
+    silver = silver_table(spark, scratch_dir(spark, "silver"))
+    silver.overwrite(_batch(spark, sf_dir, BATCHES[0]), unique_key="order_id")
+    second = _batch(spark, sf_dir, BATCHES[1])
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
+    for rows, buckets in ((second.filter(half), 8), (second.filter(~half), None), (second, None)):
+        silver.merge(rows, "order_id", "order_timestamp", key_buckets=buckets)
+    return silver.read().select(*SILVER_OUT)
+
+
 @query(MERGED_SQL)
 def silver_merge_join(spark, sf_dir):
     first, second = (_batch(spark, sf_dir, condition) for condition in BATCHES)
@@ -393,12 +422,29 @@ def silver_uniqueness_after_merge(spark, sf_dir):
     return profiles.uniqueness(silver.read()).withColumn("marked", F.lit(marked))
 
 
-@query(f"SELECT DISTINCT order_date, 1 AS files FROM ({silver_sql(['currency'])})")
+ADVISORY_BYTES = 256 * 1024
+
+
+@query(f"SELECT order_date, count(*) AS row_count, true AS well_sized "
+       f"FROM ({silver_sql(['currency'])}) GROUP BY order_date")
 def sized_write(spark, sf_dir):
+    """Files near the advisory size: no file far above it, and of several none far below on average."""
     silver = silver_table(spark, scratch_dir(spark, "silver"))
-    silver.overwrite(_silver(spark, sf_dir, ["currency"]).select(*SILVER_OUT))
-    written = silver.read().select("order_date", F.input_file_name().alias("file")).distinct()
-    return written.groupBy("order_date").agg(F.count("*").cast("int").alias("files"))
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, ADVISORY_BYTES)
+    try:
+        silver.overwrite(_silver(spark, sf_dir, ["currency"]).select(*SILVER_OUT))
+    finally:
+        spark.conf.set(setting, before)
+    file = F.col("_metadata")
+    paths = silver.read().inputFiles()
+    files = spark.read.option("basePath", f"{silver.root}/data").parquet(*paths).groupBy(
+        "order_date", file["file_path"], file["file_size"].alias("bytes")).agg(F.count("*").alias("rows"))
+    # Parquet is smaller than what is shuffled, by up to some sixteen times here
+    fits = (F.max("bytes") <= 2 * ADVISORY_BYTES) & (
+        (F.count("*") == 1) | (F.avg("bytes") >= ADVISORY_BYTES / 32))
+    return files.groupBy("order_date").agg(F.sum("rows").alias("row_count"), fits.alias("well_sized"))
 
 
 # -- bronze, batch ---------------------------------------------------------------------------
@@ -660,6 +706,45 @@ def stream_admission(spark, sf_dir):
         F.lit(batches).alias("batches"), "row_count")
 
 
+OFFSETS = 700
+
+
+@query("SELECT count(*) AS row_count, count(DISTINCT event_id) AS offsets, true AS within_limit, true AS several "
+       "FROM events")
+def stream_offset_admission(spark, sf_dir):
+    """Micro-batches of at most so many offsets, none lost."""
+    base = scratch_dir(spark, "stream")
+    write_topic_files(_event_messages(spark, sf_dir), f"{base}/topic", OFFSETS // 2)
+    jobs.topic_to_bronze(
+        read_topic_files(spark, f"{base}/topic", max_offsets=OFFSETS, offsets_per_file=OFFSETS // 2),
+        f"{base}/bronze", f"{base}/checkpoint", compact_every=None)
+    batches = (read_bronze_stream(spark, f"{base}/bronze")
+               .groupBy(F.regexp_extract(F.col("_metadata.file_path"), "batch=([0-9]+)", 1)).agg(
+                   F.count("*").alias("rows"), F.count_distinct("_kafka_offset").alias("offsets")))
+    return batches.agg(F.sum("rows").alias("row_count"), F.sum("offsets").alias("offsets"),
+                       (F.max("rows") <= OFFSETS).alias("within_limit"), (F.count("*") > 1).alias("several"))
+
+
+@query("SELECT count(*) AS row_count, count(DISTINCT event_id) AS keys FROM events WHERE event_id % 3 <> 2")
+def stream_lost_data(spark, sf_dir):
+    """A file of messages that vanishes after it was listed, before it is read."""
+    base = scratch_dir(spark, "stream")
+    for part in range(3):
+        rows = _event_messages(spark, sf_dir).filter(F.col("offset") % 3 == part)
+        rows.coalesce(1).write.parquet(f"{base}/topic/part={part}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 0:
+            delete_tree(spark, f"{base}/topic/part=2")
+        batch.write.mode("append").parquet(f"{base}/read")
+
+    stream = read_topic_files(spark, f"{base}/topic/part=*", max_files=1)
+    run_to_end(stream.writeStream.foreachBatch(write).trigger(availableNow=True)
+               .option("checkpointLocation", f"{base}/checkpoint").start())
+    return spark.read.parquet(f"{base}/read").agg(
+        F.count("*").alias("row_count"), F.count_distinct("offset").alias("keys"))
+
+
 @query(f"""
 SELECT 1 AS run, count(*) FILTER (WHERE l_linestatus = 'F') AS row_count FROM lineitem
 UNION ALL SELECT 2, count(*) FROM lineitem UNION ALL SELECT 3, count(*) FROM lineitem""")
@@ -692,6 +777,35 @@ def stream_replay(spark, sf_dir):
         "updated_by_replay": F.lit(replay.updated), "inserted_by_replay": F.lit(replay.inserted)})
 
 
+@query(f"SELECT {', '.join(EVENT_COLUMNS)}, {POSITIONS_SQL}, true AS fewer_files "
+       f"FROM ({order_sql(STREAMED, 'double')}) CROSS JOIN (SELECT unnest([1, 2]) AS run)")
+def stream_compaction(spark, sf_dir):
+    """Several micro-batches, compacted; a restart takes new rows; all is replayed and compacted again."""
+    base = scratch_dir(spark, "stream")
+    bronze = f"{base}/bronze"
+
+    def run(checkpoint: str, condition: str | None = None, compact_every: int | None = None) -> None:
+        if condition is not None:
+            spread = _as_topic_rows(_orders(spark, sf_dir, condition).repartition(5, "order_id"))
+            spread.write.mode("append").parquet(f"{base}/topic")
+        jobs.topic_to_bronze(read_topic_files(spark, f"{base}/topic", max_files=2), bronze, f"{base}/{checkpoint}",
+                             compact_every=compact_every)
+
+    def files() -> int:
+        return len(read_bronze_stream(spark, bronze).inputFiles())
+
+    run("checkpoint", BATCHES[0])
+    before = files()
+    run("checkpoint", compact_every=10)
+    fewer = files() < before
+    run("checkpoint", BATCHES[1])
+    run("fresh-checkpoint")
+    before = files()
+    compact_bronze(spark, bronze, schema=BRONZE_STREAM)
+    return read_bronze_stream(spark, bronze).select(
+        *EVENT_COLUMNS, *POSITION, F.lit(fewer and files() < before).alias("fewer_files"))
+
+
 # -- profiles --------------------------------------------------------------------------------
 
 @query(f"""

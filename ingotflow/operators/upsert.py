@@ -33,16 +33,20 @@ def merge_latest(target: DataFrame, source: DataFrame, key: str = "order_id",
 
 
 def changed_rows(target: DataFrame, source: DataFrame, partition: str, key: str = "order_id",
-                 timestamp: str = "order_timestamp", source_is_small: bool = False) -> DataFrame:
+                 timestamp: str = "order_timestamp", source_is_small: bool = False,
+                 buckets: int | None = None) -> DataFrame:
     """Source rows that insert or update, each with ``_matched`` and the old row's partition.
 
     Only three target columns are read. With ``source_is_small`` the target keys are first reduced
     by a semi join, which Spark broadcasts when the source's measured size allows it and shuffles
-    otherwise; the source is then read twice, so it should be a written table.
+    otherwise; the source is then read twice, so it should be a written table. ``buckets`` says that the
+    target is bucketed by key into so many: the source is dealt out likewise, and the target stays in place.
     """
     known = target.select(key, F.col(timestamp).alias("_old_time"),
                           F.col(partition).alias(OLD_PARTITION), F.lit(True).alias(MATCHED))
-    if source_is_small:
+    if buckets:
+        source = source.repartition(buckets, key)
+    elif source_is_small:
         known = known.join(source.select(key), key, "left_semi")
     known = known.withColumnRenamed(key, "_old_key")
     joined = source.join(known, F.col(key) == F.col("_old_key"), "left")

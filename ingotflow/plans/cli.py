@@ -37,6 +37,9 @@ def parser() -> argparse.ArgumentParser:
                          help="size each micro-batch's files, for one shuffle of its rows")
         if target == "landing":
             sub.add_argument("--max-records-per-file", type=int, default=FLUSH_ROWS)
+        else:
+            sub.add_argument("--compact-every", type=int, default=jobs.COMPACT_EVERY,
+                             help="join small files after so many micro-batches; 0: never")
 
     sub = command("landing-to-bronze", "append landed files to bronze", "landing", "bronze")
     sub.add_argument("--checkpoint", help="remember files here and append only new ones")
@@ -51,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--count-read", action="store_true",
                      help="log the rows read too; the validity filter is then not pushed down")
     sub.add_argument("--table", help="merge into this catalog table instead, by its own MERGE")
+    sub.add_argument("--key-buckets", type=int,
+                     help="keep the table's keys in so many buckets; merges then shuffle only their source")
     command("silver-to-gold", "rebuild the gold tables", "silver", "gold")
     return root
 
@@ -67,7 +72,8 @@ def run(args: argparse.Namespace) -> None:
                                       args.optimize_write)
             else:
                 jobs.topic_to_bronze(messages, args.bronze, args.checkpoint, schema,
-                                     args.processing_time, args.optimize_write)
+                                     args.processing_time, args.optimize_write,
+                                     args.compact_every or None)
         elif args.job == "landing-to-bronze" and args.checkpoint:
             jobs.new_landing_to_bronze(spark, args.landing, args.bronze, args.checkpoint,
                                        max_bytes=args.max_bytes, max_file_age=args.max_file_age)
@@ -76,7 +82,8 @@ def run(args: argparse.Namespace) -> None:
         elif args.job == "bronze-to-silver":
             jobs.bronze_to_silver(spark, args.bronze, args.silver, args.profile, args.since,
                                   source_is_small=args.source_is_small,
-                                  count_read=args.count_read, table=args.table)
+                                  count_read=args.count_read, table=args.table,
+                                  key_buckets=args.key_buckets)
         else:
             jobs.silver_to_gold(spark, args.silver, args.gold)
     finally:

@@ -31,7 +31,6 @@ from ingotflow.sinks.gold import build_table
 from ingotflow.snapshots import MergeResult, SnapshotTable
 from ingotflow.sources.landing import ANY_AGE, read_landing, read_landing_stream
 from ingotflow.sources.tables import (
-    bronze_table,
     read_bronze_file,
     read_bronze_stream,
     read_named,
@@ -40,7 +39,6 @@ from ingotflow.sources.tables import (
 from ingotflow.streaming.sinks import (
     FLUSH_ROWS,
     run_to_end,
-    start_append,
     start_bronze,
     start_landing,
 )
@@ -49,6 +47,10 @@ logger = logging.getLogger(__name__)
 
 KEY = "order_id"
 TIMESTAMP = "order_timestamp"
+COMPACT_EVERY = 100
+#: Table formats whose tables Spark merges into by row. Fixed values.
+MERGE_FORMATS = frozenset(["delta", "hudi", "iceberg", "paimon"])
+SILVER_TABLE = "silver.orders"
 
 
 def topic_to_landing(messages: DataFrame, landing: str, checkpoint: str,
@@ -63,10 +65,18 @@ def topic_to_landing(messages: DataFrame, landing: str, checkpoint: str,
 
 def topic_to_bronze(messages: DataFrame, bronze: str, checkpoint: str,
                     schema_json: str = ORDER_SCHEMA_JSON, processing_time: str | None = None,
-                    optimize_write: bool = True) -> StreamingQuery:
-    """Decode a stream of topic rows into bronze; reruns take only what is new."""
+                    optimize_write: bool = True, compact_every: int | None = COMPACT_EVERY
+                    ) -> StreamingQuery:
+    """Decode a stream of topic rows into bronze; reruns take only what is new.
+
+    The small files of settled micro-batches are joined after every ``compact_every`` of them, and
+    when the query ends; not at all if it is none.
+    """
     records = add_stream_metadata(parse_messages(messages, schema_json))
-    return run_to_end(start_bronze(records, bronze, checkpoint, processing_time, optimize_write))
+    query = run_to_end(start_bronze(records, bronze, checkpoint, processing_time, optimize_write, compact_every))
+    if compact_every:
+        compact_bronze(messages.sparkSession, bronze, schema=records.schema)
+    return query
 
 
 def landing_to_bronze(spark: SparkSession, landing: str, bronze: str,
@@ -84,14 +94,15 @@ def new_landing_to_bronze(spark: SparkSession, landing: str, bronze: str, checkp
                           compact: bool = True, max_file_age: str = ANY_AGE) -> str:
     """Append only the files landed since the checkpoint's last run, each of them once.
 
+    Each micro-batch has a directory of its own, which a batch that is run again replaces.
     ``max_bytes`` limits a micro-batch; a first run over a long backlog should set it.
     """
     batch_id = batch_id or str(uuid.uuid4())
     files = read_landing_stream(spark, landing, max_bytes=max_bytes, max_file_age=max_file_age)
     landed = add_file_metadata(files, batch_id)
-    run_to_end(start_append(landed, bronze_table(spark, bronze), checkpoint))
-    if compact and bronze_table(spark, bronze).exists():
-        compact_bronze(spark, bronze)
+    run_to_end(start_bronze(landed, bronze, checkpoint, optimize_write=False))
+    if compact:
+        compact_bronze(spark, bronze, schema=landed.schema)
     return batch_id
 
 
@@ -141,10 +152,18 @@ def merge_into(rows: DataFrame, table: str) -> None:
         rows.sparkSession.catalog.dropTempView(view)
 
 
+def has_merge(spark: SparkSession, table: str) -> bool:
+    """Whether a catalog table's format has a ``MERGE`` of its own."""
+    if not spark.catalog.tableExists(table):
+        return False
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").first()
+    return described is not None and described["data_type"].lower() in MERGE_FORMATS
+
+
 def _merge_snapshot(table: SnapshotTable, rows: DataFrame, counts: dict[str, Observation],
-                    compact: bool, source_is_small: bool) -> MergeResult:
+                    compact: bool, source_is_small: bool, key_buckets: int | None) -> MergeResult:
     if table.exists():
-        merged = table.merge(rows, KEY, TIMESTAMP, source_is_small)
+        merged = table.merge(rows, KEY, TIMESTAMP, source_is_small, key_buckets)
     else:
         created = table.overwrite(rows, unique_key=KEY)
         merged = MergeResult(created.version, 0, counts["latest"].get["rows"])
@@ -165,15 +184,19 @@ def silver_rows(bronze: DataFrame, profile: Profile,
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, profile: str = "file",
                      since: date | None = None, compact: bool = True,
                      source_is_small: bool = False, count_read: bool = False,
-                     table: str | None = None) -> SilverRun:
+                     table: str | None = None, key_buckets: int | None = None) -> SilverRun:
     """Upsert bronze into silver; the first run creates it.
 
     ``since`` reads only bronze partitions from that ingestion date on. ``source_is_small`` says that
     the run's rows are few next to the table's: they are staged, and the target's keys reduced to theirs
     before joining. ``count_read`` also counts the rows read, which keeps the validity filter from
     being pushed into the scan. ``table`` names a catalog table whose format supports ``MERGE``; it is
-    then merged into instead of the snapshots below ``silver``, and nothing is counted.
+    then merged into instead of the snapshots below ``silver``, and nothing is counted. So is, unasked,
+    ``SILVER_TABLE`` if it has such a format. ``key_buckets`` keeps the snapshots' keys bucketed, so
+    that merges shuffle only their source.
     """
+    if table is None and has_merge(spark, SILVER_TABLE):
+        table = SILVER_TABLE
     shape = PROFILES[profile]
     counts: dict[str, Observation] = {}
 
@@ -188,7 +211,8 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, profile: str
         merge_into(rows, table)
         merged = None
     else:
-        merged = _merge_snapshot(silver_table(spark, silver), rows, counts, compact, source_is_small)
+        merged = _merge_snapshot(silver_table(spark, silver), rows, counts, compact, source_is_small,
+                                 key_buckets)
     run = SilverRun(*(counts[n].get["rows"] if n in counts else None
                       for n in ("read", "valid", "latest")), merged)
     logger.info("silver: %s", run)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from ingotflow.schemas import BRONZE_FILE
 from ingotflow.snapshots import SMALL_FILE_BYTES, Snapshot
 from ingotflow.sources.tables import bronze_table
+from ingotflow.streaming.batches import compact_batches
 
 
 def append_bronze(df: DataFrame, path: str, optimize_write: bool = False) -> Snapshot:
@@ -17,6 +20,10 @@ def append_bronze(df: DataFrame, path: str, optimize_write: bool = False) -> Sna
     return bronze_table(df.sparkSession, path).append(df, rebalance=optimize_write)
 
 
-def compact_bronze(spark: SparkSession, path: str,
-                   small_file_bytes: int = SMALL_FILE_BYTES) -> Snapshot:
-    return bronze_table(spark, path).compact(small_file_bytes)
+def compact_bronze(spark: SparkSession, path: str, small_file_bytes: int = SMALL_FILE_BYTES,
+                   schema: T.StructType = BRONZE_FILE) -> None:
+    """Same rows, fewer files: of snapshots, and of micro-batches (whose columns are ``schema``)."""
+    table = bronze_table(spark, path)
+    if table.exists():
+        table.compact(small_file_bytes)
+    compact_batches(spark, path, schema, small_file_bytes)

@@ -13,9 +13,10 @@ a time: the second of two racing publishers fails. Where the cluster has a table
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, replace
 from datetime import date
 from typing import NamedTuple
 
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingotflow import storage
+from ingotflow.keys import ADDITIONS, Keys, KeyTable
 from ingotflow.operators.upsert import (
     MATCHED,
     OLD_PARTITION,
@@ -34,8 +36,8 @@ from ingotflow.operators.upsert import (
 WRITE = "snap_write"
 NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 SMALL_FILE_BYTES = 64 * 1024 * 1024
-#: Table property that names the root a numbered table belongs to.
-ROOT_PROPERTY = "ingotflow.root"
+#: Table property that says which root's snapshot a numbered table holds.
+SNAPSHOT_PROPERTY = "ingotflow.snapshot"
 
 
 class Piece(NamedTuple):
@@ -53,7 +55,13 @@ class Snapshot:
     schema: T.StructType
     pieces: dict[str, list[Piece]]  # partition directory name -> where its rows lie
     unique_key: str | None = None
-    streams: dict[str, int] = field(default_factory=dict)  # query id -> last micro-batch appended
+    keys: Keys | None = None  # its keys, if merges keep them
+
+    @property
+    def fingerprint(self) -> str:
+        """Differs for snapshots of other directories, though number and root be the same."""
+        held = [[p, *(piece.write for piece in pieces)] for p, pieces in sorted(self.pieces.items())]
+        return hashlib.sha256(json.dumps([self.schema.jsonValue(), held]).encode()).hexdigest()
 
 
 class MergeResult(NamedTuple):
@@ -90,14 +98,15 @@ class SnapshotTable:
         return Snapshot(version, T.StructType.fromJson(record["schema"]),
                         {p: [Piece(*piece) for piece in pieces]
                          for p, pieces in record["pieces"].items()},
-                        record["unique_key"], record.get("streams", {}))
+                        record["unique_key"], _keys(record.get("keys")))
 
     def _snapshot_path(self, version: int) -> str:
         return f"{self.root}/snapshots/{version:08d}.json"
 
     def _publish(self, snapshot: Snapshot) -> Snapshot:
         record = {"schema": snapshot.schema.jsonValue(), "unique_key": snapshot.unique_key,
-                  "streams": snapshot.streams, "pieces": {p: pieces for p, pieces in snapshot.pieces.items() if pieces}}
+                  "keys": snapshot.keys and asdict(snapshot.keys),
+                  "pieces": {p: pieces for p, pieces in snapshot.pieces.items() if pieces}}
         storage.write_new_text(
             self.spark, self._snapshot_path(snapshot.version), json.dumps(record))
         return snapshot
@@ -152,50 +161,47 @@ class SnapshotTable:
             versions[-1] + 1 if versions else 0, _nullable(df.schema),
             {p: [piece] for p, piece in written.items()}, unique_key))
 
-    def append(self, df: DataFrame, rebalance: bool = False,
-               micro_batch: tuple[str, int] | None = None) -> Snapshot:
-        """Add rows; creates the table when there is none.
-
-        ``micro_batch`` is a streaming query's id and batch number: the snapshot records it, so a
-        batch that is run again after its rows were published adds nothing.
-        """
+    def append(self, df: DataFrame, rebalance: bool = False) -> Snapshot:
+        """Add rows; creates the table when there is none."""
         versions = self.versions()
         if versions:
             current = self.snapshot(versions[-1])
             require_same_columns(self._scan(current.schema, {}), df)
         else:
             current = Snapshot(-1, _nullable(df.schema), {})
-        streams = current.streams
-        if micro_batch is not None:
-            query, batch = micro_batch
-            if streams.get(query, -1) >= batch:
-                return current
-            streams = {**streams, query: batch}
         written = self._write(df.select(*current.schema.names), rebalance)
         return self._publish(replace(
-            current, version=current.version + 1, unique_key=None, streams=streams,
+            current, version=current.version + 1, unique_key=None, keys=None,
             pieces=_joined(current.pieces, {p: [piece] for p, piece in written.items()})))
 
-    def merge(self, source: DataFrame, key: str, timestamp: str,
-              source_is_small: bool = False) -> MergeResult:
+    def merge(self, source: DataFrame, key: str, timestamp: str, source_is_small: bool = False,
+              key_buckets: int | None = None) -> MergeResult:
         """Event-time upsert of ``source`` (one row per key) as the next snapshot.
 
         Partitions that only gain rows get another directory; only partitions that lose a row to
         an update are rewritten. Every other partition is carried over by name.
+
+        ``key_buckets`` keeps the keys of a key-unique table in so many buckets from now on. This and later
+        merges then join the source to these, and the table's own keys are neither read nor shuffled.
         """
         current = self.snapshot()
         target = self._scan(current.schema, current.pieces)
         require_same_columns(target, source)
         source = source.select(*current.schema.names)
+        known = KeyTable(self.spark, self.root, current.schema, key, timestamp, self.partition)
+        keys = current.keys
+        if keys is None and key_buckets and current.unique_key == key:
+            keys = known.add(known.create(key_buckets), target, current.version)
         scratch = f"{self.root}/staging/merge-{uuid.uuid4().hex}"
         try:
             if source_is_small:
                 source = storage.stage(source, f"{scratch}/source")
             changes = storage.stage(
-                changed_rows(target, source, self.partition, key, timestamp, source_is_small),
+                changed_rows(known.read(keys) if keys else target, source, self.partition, key, timestamp,
+                             source_is_small, keys.buckets if keys else None),
                 f"{scratch}/changes")
             losing, updated, inserted, unique = self._summary(changes, key)
-            pieces = current.pieces
+            pieces, version = current.pieces, current.version + 1
             if updated or inserted:
                 rewritten = {p: pieces[p] for p in losing}
                 updated_keys = changes.filter(MATCHED).select(key)
@@ -203,9 +209,15 @@ class SnapshotTable:
                 written = self._write(kept.unionByName(changes.drop(MATCHED, OLD_PARTITION)))
                 pieces = _joined({p: found for p, found in pieces.items() if p not in rewritten},
                                  {p: [piece] for p, piece in written.items()})
+                if keys and unique:
+                    if len(keys.additions) >= ADDITIONS:
+                        keys = known.rewritten(keys, current.version)
+                    keys = known.add(keys, changes, version)
             published = self._publish(replace(
-                current, version=current.version + 1, pieces=pieces,
+                current, version=version, pieces=pieces, keys=keys if unique else None,
                 unique_key=current.unique_key if unique else None))
+            if current.keys and (published.keys is None or published.keys.table != current.keys.table):
+                known.drop(current.keys)
             return MergeResult(published.version, updated, inserted)
         finally:
             storage.delete_tree(self.spark, scratch)
@@ -254,12 +266,13 @@ class SnapshotTable:
 
         The numbered name is an external table holding exactly the snapshot's partitions, so
         queries prune them in the catalog. ``name`` is a view on it that hides the write column.
-        A snapshot registered already is not registered again. The numbered name before it stays,
+        A snapshot registered already is not registered again; a numbered name of another table's, or of a
+        table that was deleted and built anew, is not taken for it. The numbered name before it stays,
         for queries that began on it; older ones go, their snapshots are still read by version.
         """
         snapshot = self.snapshot(version)
         numbered = f"{name}_v{snapshot.version}"
-        if not self._is_registered(numbered):
+        if not self._is_registered(snapshot, numbered):
             self._register_numbered(snapshot, numbered)
         listed = ", ".join(f"`{c}`" for c in snapshot.schema.names)
         self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {numbered}")
@@ -267,14 +280,19 @@ class SnapshotTable:
         names = [t.name for t in self.spark.catalog.listTables(database or None, f"{short}_v*")]
         others = sorted((int(number) for n in names if n != numbered.rpartition(".")[2]
                          and (number := n.removeprefix(f"{short}_v")).isdigit()), reverse=True)
-        for old in others[1:]:
+        versions = self.versions()
+        before = [v for v in others if v in versions and self._is_registered(self.snapshot(v), f"{name}_v{v}")]
+        for old in set(others) - set(before[:1]):
             self.spark.sql(f"DROP TABLE {name}_v{old}")
 
-    def _is_registered(self, numbered: str) -> bool:
+    def _property(self, snapshot: Snapshot) -> str:
+        return f"{self.root} {snapshot.fingerprint}"
+
+    def _is_registered(self, snapshot: Snapshot, numbered: str) -> bool:
         if not self.spark.catalog.tableExists(numbered):
             return False
-        found = self.spark.sql(f"SHOW TBLPROPERTIES {numbered} ('{ROOT_PROPERTY}')").first()
-        return found["value"] == self.root
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {numbered} ('{SNAPSHOT_PROPERTY}')").first()
+        return found["value"] == self._property(snapshot)
 
     def _register_numbered(self, snapshot: Snapshot, numbered: str) -> None:
         columns = [f for f in snapshot.schema if f.name != self.partition]
@@ -284,7 +302,7 @@ class SnapshotTable:
         self.spark.sql(
             f"CREATE TABLE {numbered} ({ddl}) USING parquet "
             f"PARTITIONED BY ({WRITE}, {self.partition}) LOCATION '{self._data}' "
-            f"TBLPROPERTIES ('{ROOT_PROPERTY}' = '{self.root}')")
+            f"TBLPROPERTIES ('{SNAPSHOT_PROPERTY}' = '{self._property(snapshot)}')")
         specs = [f"PARTITION ({WRITE}='{piece.write}', {_partition_sql(partition)})"
                  for partition, found in snapshot.pieces.items() for piece in found]
         for start in range(0, len(specs), 500):
@@ -292,6 +310,10 @@ class SnapshotTable:
                            + " ".join(specs[start:start + 500]))
 
 
+def _keys(record: dict | None) -> Keys | None:
+    return Keys(record["table"], record["buckets"], tuple(record["additions"])) if record else None
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
 

@@ -5,14 +5,12 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ingotflow.schemas import BRONZE_STREAM
+from ingotflow.schemas import BRONZE_FILE, BRONZE_STREAM
 from ingotflow.snapshots import SnapshotTable
-from ingotflow.streaming.sinks import BATCH, GENERATION
+from ingotflow.streaming.batches import INGESTION_DATE, has_batches, read_batches
 
-INGESTION_DATE = "ingestion_date"
 ORDER_DATE = "order_date"
 
 
@@ -25,17 +23,23 @@ def silver_table(spark: SparkSession, path: str) -> SnapshotTable:
 
 
 def read_bronze_file(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
-    """Bronze of the file profile, all of it or the partitions from ``since`` on."""
-    return bronze_table(spark, path).read(since=since)
+    """Bronze of the file profile, all of it or the dates from ``since`` on.
+
+    Whole appends are snapshots, appends of newly landed files are micro-batches; a table may have both.
+    """
+    table = bronze_table(spark, path)
+    if not table.exists():
+        return read_batches(spark, path, BRONZE_FILE, since)
+    rows = table.read(since=since)
+    if not has_batches(spark, path):
+        return rows
+    return rows.unionByName(read_batches(spark, path, rows.schema, since))
 
 
 def read_bronze_stream(spark: SparkSession, path: str, since: date | None = None,
                        schema: T.StructType = BRONZE_STREAM) -> DataFrame:
-    """Bronze of the stream profile: every generation and micro-batch below ``path``."""
-    located = T.StructType(schema.fields + [T.StructField(GENERATION, T.StringType()),
-                                            T.StructField(BATCH, T.LongType())])
-    df = spark.read.schema(located).parquet(path).select(*schema.names)
-    return df if since is None else df.filter(F.col(INGESTION_DATE) >= F.lit(since))
+    """Bronze of the stream profile: every micro-batch, or those of the dates from ``since`` on."""
+    return read_batches(spark, path, schema, since)
 
 
 def read_named(spark: SparkSession, database: str, table: str) -> DataFrame:

@@ -62,20 +62,16 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def write_new_text(spark: SparkSession, path: str, text: str) -> None:
     """Create a file that appears whole or not at all; fails when it exists already."""
-    jvm, conf = spark._jvm, _hadoop_conf(spark)
     final = _path(spark, path)
     draft = _path(spark, f"{final.getParent()}/.{uuid.uuid4().hex}")
-    fs = final.getFileSystem(conf)
+    fs = final.getFileSystem(_hadoop_conf(spark))
     stream = fs.create(draft, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
-    no_overwrite = spark.sparkContext._gateway.new_array(
-        getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     try:
-        context.rename(draft, final, no_overwrite)
+        move(spark, draft.toString(), path)
     except Exception as error:
         fs.delete(draft, False)
         if fs.exists(final):
@@ -83,6 +79,22 @@ def write_new_text(spark: SparkSession, path: str, text: str) -> None:
         raise
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or directory in one step; fails when the target exists already."""
+    jvm, conf = spark._jvm, _hadoop_conf(spark)
+    final = _path(spark, target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.getFileSystem(conf).getUri(), conf)
+    no_overwrite = spark.sparkContext._gateway.new_array(
+        getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    context.rename(_path(spark, source), final, no_overwrite)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a directory."""
+    hadoop_path = _path(spark, path)
+    return hadoop_path.getFileSystem(_hadoop_conf(spark)).getContentSummary(hadoop_path).getLength()
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     hadoop_path = _path(spark, path)
     hadoop_path.getFileSystem(_hadoop_conf(spark)).delete(hadoop_path, True)

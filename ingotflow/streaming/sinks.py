@@ -1,11 +1,11 @@
 """Stream sinks for the landing and bronze layers.
 
-Each micro-batch has a directory of its own::
+Bronze has the layout of ``streaming.batches``. In landing each micro-batch has a directory of its own::
 
     <root>/gen=<query id>/batch=<batch id>/<partition columns>/part-*.parquet
 
 The query id lives in the checkpoint. A restarted query keeps it, so a batch that was begun is written
-again in place, and one that was finished is not; a query with a fresh checkpoint has a new one, so a
+again in place, and a landed one that was finished is not; a query with a fresh checkpoint has a new one, so a
 full replay appends.
 """
 
@@ -20,10 +20,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ingotflow import storage
 from ingotflow.functions.columns import HOUR_BUCKET, hour_bucket
 from ingotflow.schemas import EVENT_COLUMNS
-from ingotflow.snapshots import SnapshotTable
+from ingotflow.streaming.batches import (
+    BATCH,
+    GENERATION,
+    compact_batches,
+    write_batch_by_date,
+)
 
-GENERATION = "gen"
-BATCH = "batch"
 FLUSH_ROWS = 10_000
 
 
@@ -63,23 +66,16 @@ def _start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: s
 
 
 def start_bronze(df: DataFrame, path: str, checkpoint: str, processing_time: str | None = None,
-                 optimize_write: bool = True) -> StreamingQuery:
-    """Append records with stream metadata to bronze, by ``ingestion_date``.
+                 optimize_write: bool = True, compact_every: int | None = None) -> StreamingQuery:
+    """Append records with ingest metadata to bronze, by ``ingestion_date``.
 
     Without ``processing_time`` the query takes all available data in rate-limited micro-batches
-    and stops.
+    and stops. ``compact_every`` joins the small files of settled batches after each so many.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, path, ["ingestion_date"], optimize_write=optimize_write)
-
-    return _start(df, write, checkpoint, processing_time)
-
-
-def start_append(df: DataFrame, table: SnapshotTable, checkpoint: str,
-                 processing_time: str | None = None) -> StreamingQuery:
-    """Append each micro-batch to a snapshot table, once."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, micro_batch=(current_query_id(batch), batch_id))
+        write_batch_by_date(batch, current_query_id(batch), batch_id, path, optimize_write)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_batches(batch.sparkSession, path, batch.schema)
 
     return _start(df, write, checkpoint, processing_time)
 

@@ -89,7 +89,7 @@ def test_failed_refresh_leaves_the_table(spark, base):
     for n in (6, 7, 8):
         build_table(spark.range(n).withColumn("x", F.lit(1)), "f_gold", "t", f"{base}/gold/t")
         assert spark.table("f_gold.t").count() == n
-    assert len([f for f in storage.list_names(spark, f"{base}/gold/t") if f.startswith("refresh-")]) <= 2
+    assert len([f for f in storage.list_names(spark, f"{base}/gold/t") if f.startswith("refresh_")]) <= 2
     build_table(spark.range(2).withColumn("y", F.lit("z")), "f_gold", "t", f"{base}/gold/t")
     assert spark.table("f_gold.t").columns == ["id", "y"]
     spark.sql("DROP DATABASE f_gold CASCADE")

@@ -71,16 +71,16 @@ def test_batch_that_failed_before_its_commit_is_written_once(spark, base, topic,
     topic({"order_id": "A"}, {"order_id": "B"})
     from ingotflow.streaming import sinks
 
-    write = sinks.write_batch
+    write = sinks.write_batch_by_date
 
     def write_then_crash(*args, **kwargs):
         write(*args, **kwargs)
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(sinks, "write_batch", write_then_crash)
+    monkeypatch.setattr(sinks, "write_batch_by_date", write_then_crash)
     with pytest.raises(Exception, match="driver lost"):
         to_bronze(spark, base)
-    monkeypatch.setattr(sinks, "write_batch", write)
+    monkeypatch.setattr(sinks, "write_batch_by_date", write)
     to_bronze(spark, base)
     assert ids(read_bronze_stream(spark, f"{base}/bronze")) == ["A", "B"]
 
@@ -187,7 +187,7 @@ def test_files_to_gold(spark, base, events):
 
 
 def test_new_files_are_appended_once_even_after_a_crash(spark, base, events, monkeypatch):
-    from ingotflow.snapshots import SnapshotTable
+    from ingotflow.streaming import sinks
 
     def land(*rows):
         events(*rows).coalesce(1).write.mode("append").parquet(f"{base}/landing/year=2024/hour=01")
@@ -198,16 +198,16 @@ def test_new_files_are_appended_once_even_after_a_crash(spark, base, events, mon
         return ids(read_bronze_file(spark, f"{base}/bronze"))
 
     land({"order_id": "A"}, {"order_id": "B"})
-    append = SnapshotTable.append
+    write = sinks.write_batch_by_date
 
-    def append_then_crash(self, *args, **kwargs):
-        append(self, *args, **kwargs)
+    def write_then_crash(*args, **kwargs):
+        write(*args, **kwargs)
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(SnapshotTable, "append", append_then_crash)
+    monkeypatch.setattr(sinks, "write_batch_by_date", write_then_crash)
     with pytest.raises(Exception, match="driver lost"):
         run()
-    monkeypatch.setattr(SnapshotTable, "append", append)
+    monkeypatch.setattr(sinks, "write_batch_by_date", write)
     assert run() == ["A", "B"]
     land({"order_id": "C"})
     assert run(max_bytes=1) == ["A", "B", "C"] and run() == ["A", "B", "C"]
