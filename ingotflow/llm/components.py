@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingotflow.llm.common import written
+from ingotflow.llm.common import discard, stored
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -14,9 +14,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     Alternating star contraction: every node hands its larger neighbours to its smallest one, then the
     smaller ones, until the edges are stars. Rounds grow with the logarithm of the longest path, and an
     edge never becomes two, so a hub with many links stays as large as its own links. Each round is
-    written to the shared folder; the driver only reads whether it changed anything.
+    written to the shared folder and the one before deleted; the driver only reads whether it changed anything.
     """
-    edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    spark = links.sparkSession
+    edges, path = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .where("a <> b").distinct(), "edges")
     before = None
     while True:
@@ -29,7 +30,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
                  .union(low.select("a", F.col("low").alias("b"))).distinct())
-        edges = written(small, "edges")
+        (edges, path), last = stored(small, "edges"), path
+        discard(spark, last)
         # stars only, once no lower end is itself below another, and nothing moved
         state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         if state == before:

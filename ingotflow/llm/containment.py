@@ -14,6 +14,10 @@ text is found in a document if the document holds at least ``percent`` of its di
   in one with a probability of at least ``1 - MISSED``. Windows with equal signatures are looked up once.
 * Check: pairs that collide are counted on their full shingle sets.
 
+Rows that repeat an id are one document, of all their shingles; each row has windows of its own, told apart by
+a hash of the row's shingles, and the whole document, all rows together, is a window too. A short text's
+rows are one as well, its class that of its longest row.
+
 The bitmap is the one thing that goes through the driver: ``2 ** BITMAP_BITS`` bits, whatever the input.
 """
 
@@ -91,7 +95,7 @@ def contained(documents: DataFrame, short: DataFrame, size: int, percent: int, d
     are the word positions from which and up to which (exclusive) they are found.
     """
     positions = shingled(short, short_key, text, size)
-    sized = positions.groupBy("id").agg(F.sum(F.size("shingles")).alias("n")).select(
+    sized = positions.groupBy("id").agg(F.max(F.size("shingles")).alias("n")).select(
         F.col("id").alias("short"), F.ceil(F.log2("n")).cast("int").alias("p"))
     entries = written(positions.select(F.col("id").alias("short"), F.explode("shingles").alias("shingle"))
                       .distinct().join(sized, "short"), "short")
@@ -100,14 +104,16 @@ def contained(documents: DataFrame, short: DataFrame, size: int, percent: int, d
                   lambda i: in_bitmap(bitmap, F.get("shingles", i)))
     hits = F.transform(at, lambda i: F.struct(i.alias("at"), F.get("shingles", i).alias("shingle")))
     found = written(shingled(documents, document_key, text, size)
-                    .select(F.col("id").alias("document"), F.inline(hits)), "hits")
+                    .select(F.col("id").alias("document"), F.xxhash64("shingles").alias("row"), F.inline(hits)), "hits")
 
     bands = bands_for(FLOOR, MISSED)
     window = F.floor(F.col("at") / F.pow(F.lit(2), "p"))
+    places = F.array(*(F.struct(row.alias("row"), place.alias("window")) for row, place in (
+        (F.col("row"), window), (F.col("row"), window - 1), (F.lit(0).cast("bigint"), F.lit(-2).cast("bigint")))))
     windows = written(
         found.join(entries.select("shingle", "p").distinct(), "shingle")
-        .select("document", "p", "shingle", F.explode(F.array(window, window - 1, F.lit(-2))).alias("window"))
-        .groupBy("document", "p", "window").agg(signature(bands).alias("signature")), "windows")
+        .select("document", "p", "shingle", F.inline(places)).groupBy("document", "row", "p", "window")
+        .agg(signature(bands).alias("signature")).select("document", "p", "signature").distinct(), "windows")
     looked_up = banded(windows.select("p", "signature", F.xxhash64("signature").alias("set")).distinct())
     templates = banded(entries.groupBy("short", "p").agg(signature(bands).alias("signature")))
     matched = looked_up.join(templates, ["p", "band", "low"]).select("p", "set", "short").distinct()

@@ -11,8 +11,10 @@ N-grams are four bytes of the UTF-8 text, with ASCII letters lower-cased and eve
 read as a space; each text is framed by spaces, and n-grams without a letter are left out. A language
 contains an n-gram if it is not much rarer there than in the language where it is most frequent.
 
-Learning reads a bounded sample, ``SAMPLE`` documents of each language with the lowest hash of id
-and text, and counts its n-grams on the executors.
+Learning reads a bounded sample, ``SAMPLE`` different documents of each language with the lowest hash of id
+and text, and counts its n-grams on the executors. A text of a language that was not learned scores far
+lower than others, so ``score_bound`` sets the score below which ``accepted`` rejects a text, from the scores
+of documents that were held out.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0, and so is everything if
 nothing could be learned. A text whose n-grams no language contains gets the most frequent language
@@ -27,10 +29,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingotflow.llm.common import map_slices, slices
+from ingotflow.llm.common import bounded_sample, map_slices, slices
 
 UNKNOWN = "und"
 SAMPLE = 400
@@ -39,6 +41,8 @@ SHARE = 0.4
 #: n-grams seen less often than this in the whole sample are ignored.
 LEAST = 2
 CELLS, HASHES = 1 << 20, 3
+#: A language is taken for known from this share of the score that all but this part of known documents reach.
+BOUND_SHARE, BOUND_QUANTILE = 0.65, 0.01
 
 _WIDTH = 4
 _FOLD = np.full(256, 0x20, np.uint8)
@@ -109,22 +113,10 @@ class LanguageFilters:
 
 
 def sample_of(df: DataFrame, label: str, text: str, key: str, limit: int = SAMPLE) -> DataFrame:
-    """``label, text`` of up to ``limit`` rows of each label: those with the lowest hash.
-
-    Only hashes are ranked, by a window that each task cuts down before the shuffle; the highest
-    hash taken of each label then picks the rows where they lie.
-    """
+    """``label, text`` of up to ``limit`` different rows of each label: those with the lowest hash."""
     rows = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(key, text).alias("hash"))
-    lowest = Window.partitionBy("label").orderBy("hash")
-    taken = (rows.select("label", "hash").withColumn("rank", F.row_number().over(lowest))
-             .where(F.col("rank") <= limit).groupBy("label").agg(F.max("hash").alias("most")).collect())
-    if not taken:
-        return rows.select("label", "text").limit(0)
-    most = F.create_map(*(F.lit(x) for r in taken for x in (r["label"], r["most"])))
-    chosen = rows.where(F.col("hash") <= most[F.col("label")])
-    return (chosen.withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= limit)
-            .select("label", "text"))
+    return bounded_sample(rows, limit).select("label", "text")
 
 
 def fit(df: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id",
@@ -170,6 +162,15 @@ def identify(df: DataFrame, model: LanguageFilters, text: str = "text", key: str
     return map_slices(rows, apply, 0, f"{kept}, lang_pred string, score double")
 
 
+def score_bound(df: DataFrame, model: LanguageFilters, label: str = "lang", text: str = "text", key: str = "doc_id",
+                share: float = BOUND_SHARE, quantile: float = BOUND_QUANTILE) -> float:
+    """The least score of a known language: ``share`` of the score that all but ``quantile`` of the documents reach
+    whose label is known. ``df`` should hold documents that taught the model nothing; if none is labelled, 0."""
+    scores = identify(df.where(F.col(label).isNotNull()), model, text, key).where(F.col("lang_pred") != UNKNOWN)
+    reached = scores.agg(F.percentile_approx("score", quantile, 10_000)).first()[0]
+    return share * (reached or 0.0)
+
+
 def accepted(df: DataFrame, model: LanguageFilters, least: float, text: str = "text") -> DataFrame:
     """The rows whose language is known with a score of at least ``least``; all columns, rows unchanged."""
     shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text)

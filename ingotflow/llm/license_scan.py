@@ -7,7 +7,12 @@ shingles (see ``containment``). A template is found if at least 80 in 100 of the
 That many shingles do not tell versions and variants of a license apart, so ``notices`` goes on to ask for a
 template's distinguishing words: each of its version numbers, and something that it has and a template
 of another license, which holds 80 in 100 of its shingles too, has not. They must stand with the 80 in 100 at
-one place of the document, where the words that the template's start would have lie close together.
+one place of the document, where the words that the template's start would have lie close together. In a
+template of up to ``NOTICE_WORDS`` words every number is a version number, in a longer one (a whole license
+text, whose clauses are numbered) those after "version".
+
+The default templates are common notices, as works carry them, and three license texts: no collection of all
+licenses. Identifiers of fewer than five words (``SPDX`` lines) are none; ``known`` takes any other table.
 
 Edge cases: null and empty texts, and texts of fewer than five words, hold no template; a template of
 fewer than five words is never found. Rows with a null id take no part. Rows that repeat an id are one
@@ -58,6 +63,42 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the Software), to deal in the Software without restriction, including without "
+            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+            "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+            "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS "
+            "OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+            "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+            "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+            "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+                     "binary form must reproduce the above copyright notice, this list of conditions and the following "
+                     "disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither "
+                     "the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be "
+             "held liable for any damages arising from the use of this software."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+                "software and accompanying documentation covered by this license."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0."),
+    ("GPL-3.0", "Licensed under the GNU General Public License v3."),
+    ("GPL-2.0", "Licensed under the GNU General Public License v2."),
+    ("GPL-2.0", "You can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                "published by the Free Software Foundation; version 2 of the License."),
+    ("CC-BY-3.0", "Licensed under CC BY 3.0."),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
 ]
 
 

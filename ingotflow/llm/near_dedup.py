@@ -27,17 +27,30 @@ gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingotflow.llm.common import map_slices, written
+from ingotflow.llm.common import (
+    discard,
+    id_bitmap,
+    in_id_bitmap,
+    map_slices,
+    slices,
+    stored,
+    written,
+)
 from ingotflow.llm.components import connected_components
 
 COORDINATES, MINIMA, MATCHES, SHORT, FEW = 32, 4, 2, 8, 1024
 #: Members of a block that meets a block of up to ``FEW`` others.
 BLOCK = 512
+#: Bits, as a power of two, of the filter for the rows whose sets are needed. Above some tens of millions of
+#: such rows it lets most others pass too, which costs the shuffle of their sets and changes no result.
+FILTER_BITS = 25
 PERCENT = 80
 
 _SPACE = np.zeros(256, bool)
@@ -143,16 +156,24 @@ def sketches(df: DataFrame, size: int) -> DataFrame:
                       "digest2 long, signature array<long>")
 
 
-def set_rows(df: DataFrame, size: int) -> DataFrame:
-    """``doc_id, signature, shingles`` of every row."""
-    def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(t, size) for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), _longs([signature(s) for s in sets]), _longs(sets)],
-            ["doc_id", "signature", "shingles"])
+def set_rows(df: DataFrame, size: int, ids: DataFrame) -> DataFrame:
+    """``doc_id, signature, shingles`` of the rows whose id is in ``ids`` (one column, distinct).
+
+    A filter of fixed size drops most other rows where they are read; only what passes is shuffled.
+    """
+    wanted = df.sparkSession.sparkContext.broadcast(id_bitmap(ids, FILTER_BITS))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.filter(pa.array(in_id_bitmap(wanted.value, batch.column(0)))), 1):
+                sets = [shingle_set(t, size) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), _longs([signature(s) for s in sets]), _longs(sets)],
+                    ["doc_id", "signature", "shingles"])
 
-    return map_slices(df.select("doc_id", "text"), apply, 1,
-                      "doc_id long, signature array<long>, shingles array<long>")
+    rows = df.where("doc_id is not null").select("doc_id", "text").mapInArrow(
+        apply, "doc_id long, signature array<long>, shingles array<long>")
+    return rows.join(ids.toDF("doc_id"), "doc_id", "left_semi")
 
 
 def lists_of(postings: DataFrame) -> DataFrame:
@@ -262,38 +283,45 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def find_links(df: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """``a, b`` of links that join the documents of each component; ``classes``: ``id, n, signature``."""
     coordinates = F.posexplode(F.slice("signature", 1, COORDINATES - MATCHES + 1)).alias("at", "key")
-    members = written(lists_of(classes.select("id", "n", coordinates)), "lists")
+    spark = df.sparkSession
+    members, lists_path = stored(lists_of(classes.select("id", "n", coordinates)), "lists")
     short, long = members.where(F.col("length") <= SHORT), members.where(F.col("length") > SHORT)
     stars = [long.where(F.col("id") != F.col(hub)).select(
         F.least("id", hub).alias("a"), F.greatest("id", hub).alias("b")) for hub in ("first", "last")]
-    pairs = written(all_pairs(short).union(stars[0]).union(stars[1]).distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = written(set_rows(df.join(ids, "doc_id", "left_semi"), size), "sets")
+    pairs, pairs_path = stored(all_pairs(short).union(stars[0]).union(stars[1]).distinct(), "pairs")
+    ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
+    sets, sets_path = stored(set_rows(df, size, ids), "sets")
     links = confirmed(pairs, sets)
+    discard(spark, pairs_path)
     if long.isEmpty():
+        discard(spark, lists_path, sets_path)
         return links
     found = connected_components(links)
     split = written(with_main(
         long.join(found, F.col("id") == F.col("node"), "left")
         .select("key", "at", "id", "n", F.coalesce("component", "id").alias("component"))), "open")
+    discard(spark, lists_path)
     later = F.slice("signature", F.col("at") + 2, F.lit(COORDINATES))
     finer = (split.where(F.col("outside") > FEW).select("key", "at", "id", "component")
              .join(classes.select("id", "signature"), "id")
              .select("id", "component", "key", F.explode(later).alias("later"))
              .select("id", "component", F.xxhash64("key", "later").alias("key")))
     few = split.where(F.col("outside") <= FEW)
-    return links.union(open_links(by_main(few), sets)).union(open_links(with_main(finer), sets))
+    found = written(open_links(by_main(few), sets).union(open_links(with_main(finer), sets)), "links")
+    discard(spark, sets_path)
+    return links.union(found)
 
 
 def near_duplicates(df: DataFrame, size: int = 2) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
-    rows = written(sketches(df, size), "sketches")
+    rows, path = stored(sketches(df, size), "sketches")
     sets = ["digest", "digest2", "n_shingles"]
     heads = (rows.where("doc_id is not null and n_shingles > 0").groupBy(*sets)
              .agg(F.min("doc_id").alias("id")))
     members = written(rows.join(heads, sets, "left").select(
         "doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("id"),
         F.when(F.col("doc_id") == F.col("id"), F.col("signature")).alias("signature")), "members")
+    discard(df.sparkSession, path)
     classes = (members.where("signature is not null").dropDuplicates(["id", "signature"])
                .select("id", F.col("n_shingles").alias("n"), "signature"))
     # an id with several texts is one document, whatever their classes
@@ -310,10 +338,17 @@ def near_duplicates(df: DataFrame, size: int = 2) -> DataFrame:
 def deduplicated(df: DataFrame, size: int = 5) -> DataFrame:
     """One row of each component; all columns, rows unchanged.
 
-    It is the row of the smallest id, and if rows repeat that id, the one whose columns have the lowest hash.
-    Rows with a null id cannot be told apart by it and stay.
+    Rows are told apart by a hash of all their columns, not by their ids, so rows with a null or a repeated id
+    are compared by their texts like all others; of rows that are equal throughout one stays. The row of
+    the smallest id stays (of a null one only if all are null), then the one of the smallest hash. Rows whose
+    text is null or blank are linked with nothing.
     """
-    kept = near_duplicates(df, size).where("kept").select("doc_id").distinct()
-    one = (df.join(kept, "doc_id", "left_semi").select(F.struct(*df.columns).alias("row"))
-           .groupBy("row.doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*"))
-    return one.union(df.where("doc_id is null"))
+    keyed = df.withColumn("_key", F.xxhash64(*df.columns))
+    classes, path = stored(near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), size), "classes")
+    ranks = keyed.select("_key", F.struct(F.col("doc_id").isNull(), "doc_id", "_key").alias("rank")).distinct()
+    best = (classes.select(F.col("doc_id").alias("_key"), "component_id").distinct().join(ranks, "_key")
+            .groupBy("component_id").agg(F.min_by("_key", "rank").alias("_key")).select("_key"))
+    kept = written(best, "kept")
+    discard(df.sparkSession, path)
+    return (keyed.join(kept, "_key", "left_semi").groupBy("_key")
+            .agg(F.first(F.struct(*df.columns)).alias("row")).select("row.*"))

@@ -56,7 +56,7 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     documents = table(spark, sf_dir, "documents")
-    held_out = remainder("doc_id", 4) == 2
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))  # a null id is not held out
     model = language_id.fit(documents.where(~held_out))
     return (language_id.identify(documents, model, keep=(held_out.alias("held_out"),))
             .select("doc_id", "held_out", "lang_pred", "score"))
@@ -65,7 +65,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels that are not held out."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = remainder("doc_id", 3) == 1
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))  # a null id is not held out
     grammar = toxicity.fit(documents, labels.where(~held_out))
     return (toxicity.score(documents, grammar, keep=(held_out.alias("held_out"),))
             .select("doc_id", "held_out", "score", "predicted"))

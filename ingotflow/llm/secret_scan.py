@@ -4,18 +4,21 @@ Every text, of whatever version of whatever path, is a blob addressed by its SHA
 rules, in which version, a blob has been scanned with, and what was found. Only unseen pairs of blob and
 rule version are scanned, each blob once however many paths hold it, and findings are joined back to all
 paths by the blob's address. A ledger row holds ``blob``, the ``rules`` (``kind@version``) scanned and the
-``findings`` (``start, kind_no, end, kind``, positions in code points, ends exclusive); a blob may have
-several rows.
+``findings`` (``start, kind_no, end, kind, rule``, positions in code points, ends exclusive); a blob may have
+several rows. Of the ledger's findings only those of rules asked for now, in their present version, are
+reported, each once: a new version's findings take the place of the old one's, those of a rule that is no
+longer asked for rest, and rows appended twice count once.
 
 Positions come from the text between the matches: splitting at a pattern and extracting all matches gives
 the pieces and the matches in turn, and a running sum of their lengths over a window gives the starts.
+Of the pieces only the lengths leave the text's row.
 
 Rules: a rule's matches are leftmost and do not overlap; matches whose group ``part`` is shorter than
 ``least`` are dropped. The last two kinds are additions to the three basic ones.
 
 Edge cases: a null text is an empty one; empty texts hold nothing. Texts are scanned whole. Rows that repeat
-an id, or have a null one, keep their row each. Columns that clash in name with the result's are not used.
-An empty table gives an empty result.
+an id, or have a null one, keep their row each. ``scan`` replaces input columns named ``blob`` and
+``findings`` by its own; ``redacted`` keeps all columns. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -52,8 +55,10 @@ MORE = [
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 ]
 RULES = BASE + MORE
-FINDINGS = "array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>"
+FINDINGS = "array<struct<start:bigint,kind_no:int,end:bigint,kind:string,rule:string>>"
 MASK = "[secret]"
+#: Parts into which the copies of one text are dealt when findings are joined to them.
+PARTS = 16
 
 
 def address(text: str = "text") -> Column:
@@ -62,10 +67,10 @@ def address(text: str = "text") -> Column:
 
 
 def _matches(rule: Rule) -> Column:
-    """Pieces before each match, and the matches, of ``text``; null where there are none."""
+    """The length of the piece before each match, and the matches, of ``text``; null where there are none."""
     pattern = F.lit(rule.pattern)
     found = F.regexp_extract_all("text", pattern, F.lit(0))
-    before = F.slice(F.split("text", rule.pattern, -1), F.lit(1), F.size(found))
+    before = F.transform(F.slice(F.split("text", rule.pattern, -1), F.lit(1), F.size(found)), F.length)
     return F.when(F.col("text").rlike(rule.pattern), F.arrays_zip(before.alias("before"), found.alias("match")))
 
 
@@ -77,22 +82,24 @@ def scan_blobs(blobs: DataFrame, rules: list[Rule]) -> DataFrame:
         for i, rule in enumerate(rules))), lambda x: x["runs"].isNotNull())).alias("hit"))
     runs = hits.select("blob", "hit.kind_no", F.posexplode("hit.runs").alias("no", "run"))
     so_far = Window.partitionBy("blob", "kind_no").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
-    spans = runs.select("blob", "kind_no", "run.match", F.sum(F.length("run.before") + F.length("run.match"))
+    spans = runs.select("blob", "kind_no", "run.match", F.sum(F.col("run.before") + F.length("run.match"))
                         .over(so_far).alias("end")).withColumn("start", F.col("end") - F.length("match"))
     long_enough = F.lit(True)
     for i, rule in enumerate(rules):
         if rule.least:
             long_enough &= (F.col("kind_no") != i) | (
                 F.length(F.regexp_extract("match", rule.pattern, rule.part)) >= rule.least)
-    kinds = F.array(*(F.lit(rule.kind) for rule in rules))
+    kinds, names = (F.array(*map(F.lit, x)) for x in ([r.kind for r in rules], [r.name for r in rules]))
     return (spans.where(long_enough).groupBy("blob").agg(F.array_sort(F.collect_list(F.struct(
-        "start", "kind_no", "end", F.get(kinds, "kind_no").alias("kind")))).alias("findings")))
+        "start", "kind_no", "end", F.get(kinds, "kind_no").alias("kind"), F.get(names, "kind_no").alias("rule")
+    ))).alias("findings")))
 
 
 def scan(documents: DataFrame, ledger: DataFrame | None = None, rules: list[Rule] = RULES,
          text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The documents with ``blob`` and ``findings``, and the ledger rows to append."""
     names = F.array(*(F.lit(rule.name) for rule in rules))
+    none = F.array().cast(FINDINGS)
     held = documents.select(*(c for c in documents.columns if c not in ("blob", "findings")),
                             address(text).alias("blob"))
     blobs = held.select("blob", F.col(text).alias("text")).dropDuplicates(["blob"])
@@ -101,23 +108,29 @@ def scan(documents: DataFrame, ledger: DataFrame | None = None, rules: list[Rule
         blobs = blobs.withColumn("seen", F.array().cast("array<string>"))
     else:
         known = ledger.groupBy("blob").agg(
-            F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"),
-            F.flatten(F.collect_list("findings")).alias("old"))
+            F.array_distinct(F.flatten(F.collect_set("rules"))).alias("seen"),
+            F.array_distinct(F.flatten(F.collect_set("findings"))).alias("old"))
         blobs = (blobs.join(known.select("blob", "seen"), "blob", "left")
                  .where(F.coalesce(F.size(F.array_except(names, "seen")) > 0, F.lit(True))))
     found = written(blobs.select("blob", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))
                                  .alias("rules")).join(scan_blobs(blobs, rules), "blob", "left")
-                    .select("blob", "rules", F.coalesce("findings", F.array().cast(FINDINGS)).alias("findings")),
-                    "ledger")
-    new = found.where(F.size("findings") > 0).select("blob", "findings")
-    out = held.join(new, "blob", "left")
+                    .select("blob", "rules", F.coalesce("findings", none).alias("findings")), "ledger")
+    hits = found.where(F.size("findings") > 0).select("blob", "findings")
     if known is not None:
-        out = out.join(known.select("blob", "old"), "blob", "left").withColumn(
-            "findings", F.array_sort(F.concat(F.coalesce("old", F.array().cast(FINDINGS)),
-                                              F.coalesce("findings", F.array().cast(FINDINGS))))).drop("old")
+        # rules keep their number by their name, which the ledger's may have had at another place
+        number = F.create_map(*(F.lit(x) for i, rule in enumerate(rules) for x in (rule.name, i)))
+        old = F.array_distinct(F.transform(
+            F.filter("old", lambda x: F.array_contains(names, x["rule"])), lambda x: F.struct(
+                x["start"].alias("start"), number[x["rule"]].alias("kind_no"), x["end"].alias("end"),
+                x["kind"].alias("kind"), x["rule"].alias("rule"))))
+        both = hits.union(known.select("blob", old.alias("findings")).where(F.size("findings") > 0))
+        hits = both.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
+    # a text may have any number of copies: they are dealt to several tasks, and its findings to each
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(PARTS))
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(PARTS - 1).cast("bigint")))
+    out = held.withColumn("_part", part).join(hits.withColumn("_part", parts), ["blob", "_part"], "left")
     columns = [c for c in held.columns if c != "blob"]
-    return (out.select(*columns, "blob", F.coalesce("findings", F.array().cast(FINDINGS)).alias("findings")),
-            found)
+    return out.select(*columns, "blob", F.coalesce("findings", none).alias("findings")), found
 
 
 def masked(text: Column, findings: Column) -> Column:
@@ -135,10 +148,19 @@ def masked(text: Column, findings: Column) -> Column:
 
 
 def redacted(documents: DataFrame) -> DataFrame:
-    """The documents with the secrets in their texts masked and ``n_chars`` counted anew; others unchanged."""
-    found, _ = scan(documents)
-    hit = F.size("findings") > 0
-    clean = found.withColumn("_masked", F.when(hit, masked(F.col("text"), F.col("findings"))))
-    columns = {"text": F.coalesce("_masked", "text"), "n_chars": F.coalesce(
-        F.length("_masked").cast(documents.schema["n_chars"].dataType), "n_chars")}
-    return clean.select(*(columns[c].alias(c) if c in columns else F.col(c) for c in documents.columns))
+    """The documents with the secrets in their texts masked and ``n_chars``, if there is one, counted anew;
+    other columns unchanged, whatever their names."""
+    private = documents.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(documents.columns)))
+    at = documents.columns.index("text")
+    found, _ = scan(private, text=f"_{at}")
+    text = F.when(F.size("findings") > 0, masked(F.col(f"_{at}"), F.col("findings")))
+
+    def value(i: int, name: str) -> Column:
+        if i == at:
+            return F.coalesce("_masked", f"_{i}")
+        if name == "n_chars":
+            return F.coalesce(F.length("_masked").cast(documents.schema[name].dataType), f"_{i}")
+        return F.col(f"_{i}")
+
+    return found.withColumn("_masked", text).select(
+        *(value(i, name).alias(name) for i, name in enumerate(documents.columns)))

@@ -1,7 +1,9 @@
 """Language, toxicity, main text and top-k search: brute force, held-out accuracy, edge cases."""
 
 import html
+import os
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -78,10 +80,25 @@ def test_language_edges(spark, filters):
     assert {r.lang_pred for r in language_id.identify(df, nothing).collect()} == {"und"}
 
 
+def test_bound_comes_from_known_documents(spark, texts, filters):
+    df = spark.createDataFrame(texts[120:], "doc_id long, text string, lang string")
+    bound = language_id.score_bound(df, filters)
+    scores = [r.score for r in language_id.identify(df, filters).collect()]
+    assert bound == pytest.approx(language_id.BOUND_SHARE * min(scores), rel=0.05)
+    assert language_id.score_bound(df.limit(0), filters) == 0
+    foreign = spark.createDataFrame([(i, "quxly wombat zephyr fjord " * 5, None) for i in range(3)], df.schema)
+    assert language_id.accepted(foreign.union(df), filters, bound).count() == 120
+
+
 def test_sample_is_bounded(spark, texts):
     df = spark.createDataFrame(texts * 2, "doc_id long, text string, lang string")
     taken = Counter(r.label for r in language_id.sample_of(df, "lang", "text", "doc_id", 10).collect())
-    assert set(taken) == set(SYLLABLES) and max(taken.values()) <= 10
+    assert set(taken) == set(SYLLABLES) and set(taken.values()) == {10}
+    one = spark.range(2000).selectExpr("1 AS doc_id", "'same' AS text", "'xx' AS lang")
+    rows = language_id.sample_of(one.union(df.select("doc_id", "text", "lang")), "lang", "text", "doc_id", 5).collect()
+    assert Counter(r.label for r in rows) == dict.fromkeys(SYLLABLES, 5)
+    lowest = sorted({(r.h, r.text) for r in df.where("lang = 'yy'").selectExpr("xxhash64(doc_id, text) AS h", "text").collect()})
+    assert {r.text for r in rows if r.label == "yy"} == {t for _, t in lowest[:5]}
 
 
 @pytest.fixture(scope="module")
@@ -117,17 +134,65 @@ def test_held_out_toxicity(spark, insults):
 
 def test_grammar_reads_clauses():
     grammar = toxicity.Grammar({"vurt": 2.0, "grob*": 3.0})
+    aimed, negated, reported, threat = np.exp(toxicity.PRIOR)
 
     def weigh(text):
-        return grammar.clause(toxicity.WORD.findall(text))[0]
-
-    assert weigh("a vurt and a grobnik") == 5
-    assert weigh("you vurt") == 2 * toxicity.TARGETED
-    assert weigh("he is not a vurt") < weigh("a vurt")
-    assert weigh('it said "vurt"') == 2 * toxicity.REPORTED
-    assert weigh("the train will kill time") == 0 and weigh("i will kill you") > 3
-    assert grammar.evidence("not here. vurt! vurt") > grammar.evidence("vurt here. not at all there")
-    assert grammar.evidence(None) == grammar.evidence("plain words") == (0, 0)
+        amounts, _ = grammar.clause(toxicity.WORD.findall(text))
+        return float(toxicity.total_of(amounts[None], toxicity.PRIOR)[0])
+
+    def close(text, expected):
+        return weigh(text) == pytest.approx(expected)
+
+    assert close("a vurt and a grobnik", 5) and close("you vurt", 2 * aimed) and close("vurt that is you", 2 * aimed)
+    assert close("he is not vurt", 2 * aimed * negated) and weigh("not a vurt") < weigh("a vurt")
+    assert close('it said "vurt"', 2 * reported) and close('"x" vurt', 2) and close('a "vurt', 2 * reported)
+    assert weigh("the train will kill time") == 0 and close("i will kill you", threat * aimed)
+    none = grammar.evidence(None)
+    assert not none[0].any() and none[1] == 0 and not grammar.evidence("plain words")[0].any()
+    one, two = (grammar.evidence(t)[0].sum() for t in ("vurt. vurt", "vurt vurt"))
+    assert two > one == 4  # matches of one clause count the more
+
+
+def test_composed_machine_equals_plain_reading():
+    """The composed states against each word's context read off the clause, and the parts one by one."""
+    rnd = random.Random(12)
+    vocabulary = ["x", "vurt", "grobnik", "you", "not", "said", '"', "kill", "him", "never"]
+    grammar = toxicity.Grammar({"vurt": 2.0, "grob*": 3.0})
+    for _ in range(2000):
+        words = rnd.choices(vocabulary, k=rnd.randrange(14))
+        expected, matches = np.zeros(2 * toxicity.CONTEXTS), 0
+        for i, word in enumerate(words):
+            near = words[max(0, i - 3):i]
+            aimed = not {"you", "him"}.isdisjoint(near + words[i + 1:i + 4])
+            context = (aimed + 2 * (not {"not", "never"}.isdisjoint(near))
+                       + 4 * ("said" in words[:i] or words[:i].count('"') % 2 == 1))
+            if word in ("vurt", "grobnik"):
+                expected[context] += 2 if word == "vurt" else 3
+            elif word == "kill" and aimed:
+                expected[toxicity.CONTEXTS + context] += 1
+            else:
+                continue
+            matches += 1
+        found, n = grammar.clause(words)
+        assert n == matches and (found == expected).all()
+    symbols = [rnd.randrange(5) for _ in range(200)]
+    parts = [toxicity.within_reach(toxicity.TARGET), toxicity.within_reach(toxicity.NEGATION),
+             toxicity.once(toxicity.REPORT), toxicity.between(toxicity.QUOTE)]
+    alone = zip(*([part.output[s] for s in part.states(symbols)] for part in parts))
+    assert [toxicity.FORWARD.output[s] for s in toxicity.FORWARD.states(symbols)] == [sum(o, ()) for o in alone]
+
+
+def test_factors_are_fitted():
+    """Where the sample says that negated insults mean nothing, their factor falls; others stay by the prior."""
+    rnd = np.random.default_rng(3)
+    label = np.repeat([0.0, 1.0], 200)
+    amounts = np.zeros((400, 2 * toxicity.CONTEXTS))
+    amounts[label == 1, 0] = rnd.uniform(1, 6, 200)
+    amounts[label == 0, 2] = rnd.uniform(4, 9, 200)  # negated
+    factors, curve = toxicity.fit_factors(amounts, np.full(400, 50.0), label, np.ones(400))
+    assert factors[1] < toxicity.PRIOR[1] - 0.3 and factors[2] == pytest.approx(toxicity.PRIOR[2], abs=0.05)
+    grammar = toxicity.Grammar({}, factors, curve)
+    assert ((grammar.score(amounts, np.full(400, 50.0)) >= 0.5) == label).mean() > 0.97
 
 
 PAGE = """<html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header>Site
@@ -164,6 +229,52 @@ def test_text_inside_a_wrapper(opening):
     assert main_text.extract(page) == " ".join([long.strip()] * 2)
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p class=\"a\"\">one</p><p title=it's>two</p>", "one two"),
+    ("<article><ul><li class='share'>Share<li>body text</ul></article>", "body text"),
+    ("<article><dl><dt class=ad>x<dd>y<dt>z</dl><table><tr><td class=ad>a<td>b<tr><td>c</table></article>", "y z b c"),
+    ("<article><div class='social-history'>S</div><p id='related-work'>R</p><p class='search-engine-history'>H</p>"
+     "<div class='related-posts'>X</div><div class='share-buttons'>X</div></article>", "S R H"),
+    ("<article><p hidden>h</p><noscript>n</noscript><p aria-hidden=true>a</p></article>", "h n a"),
+    ("<main><p>Main text.</p></main><article>Teaser</article>", "Main text."),
+    ("<p class=ad>" + "<b>" * 30 + "gone<div>stays here</div>", "stays here"),
+    ("<article>a <b>c <p x=\"1>2\">q</p> 1 < 2 &lt;</article>", "a c q 1 < 2 <"),
+    ("<article>one <b two</article>", "one"),
+    ("<p>Short opening.</p>" + "<p>Real prose goes here in some length.</p>" * 9,
+     " ".join(["Short opening."] + ["Real prose goes here in some length."] * 9)),
+])
+def test_markup_and_names(page, text):
+    assert main_text.extract(page) == text
+
+
+def test_windows_decide_on_marked_pages():
+    teaser, prose = "<article>See more</article>", "<p>" + "Real prose goes here in some length. " * 20 + "</p>"
+    outside = main_text.extract(f"{teaser}<div>{prose * 4}</div>")
+    assert outside.count("Real prose") == 80  # the mark is of something else
+    assert main_text.extract(f"<article>{prose}</article><div><p>{'A remark. ' * 30}</p></div>").count("remark") == 0
+
+
+BLOCK_TAGS = "p|h[1-6]|br|ul|ol|li|div|article|section|blockquote|pre|table|tr|td|th|dl|dt|dd|hr|main|body|header|footer|nav|aside"
+
+
+def plain_extract(page):
+    """The article between its tags, for pages as regular as the given ones."""
+    page = re.sub(r"<!--.*?-->|<(script|style)\b.*?</\1>", "", page or "", flags=re.S)
+    page = re.sub(r"<(nav|footer|header|aside|form)\b.*?</\1>|<div class=\"[^\"]*\">.*?</div>", "\n", page, flags=re.S)
+    text = re.sub(rf"</?(?:{BLOCK_TAGS})\b[^>]*>", "\0", re.search(r"<article\b[^>]*>(.*)</article>", page, re.S)[1])
+    blocks = (re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", b))).strip() for b in text.split("\0"))
+    return " ".join(filter(None, blocks))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no driver tables here")
+def test_given_pages_equal_a_plain_extraction(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    for page in pages:
+        assert main_text.extract(page.html) == plain_extract(page.html)
+        # the method finds the same without any mark
+        assert main_text.extract(re.sub("(</?)article", r"\1div", page.html)) == plain_extract(page.html)
+
+
 def test_comments_stay_out_and_captions_in():
     comments = "<div class='comments'><article>%s</article></div>" % ("So I think. " * 30)
     assert main_text.extract(PAGE % f"{comments}<article>Short.</article>{comments}") == "Short."

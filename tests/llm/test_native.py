@@ -75,6 +75,48 @@ def test_redaction(documents):
     assert secret_scan.redacted(documents).columns == documents.columns
 
 
+def kinds(df):
+    return sorted((r.doc_id or -1, x.kind, x.start, x.rule) for r in df.collect() for x in r.findings)
+
+
+def test_ledger_of_rules_that_change(spark, documents):
+    assign, access, hexes, *_ = secret_scan.RULES
+    first, ledger = secret_scan.scan(documents, rules=[assign, access, hexes])
+    ledger = secret_scan.written(ledger, "test-ledger")
+    expected = kinds(first)
+    # appended twice, as by a retry
+    twice, nothing = secret_scan.scan(documents, ledger.union(ledger), [assign, access, hexes])
+    assert kinds(twice) == expected and nothing.count() == 0
+    # a rule that is no longer asked for, and another order
+    less, nothing = secret_scan.scan(documents, ledger, [hexes, assign])
+    assert kinds(less) == [x for x in expected if x[1] != "access"] and nothing.count() == 0
+    assert {(x.kind_no, x.kind) for r in less.collect() for x in r.findings} == {(0, "hex"), (1, "assign")}
+    # a new version finds fewer, the same, or nothing
+    longer = secret_scan.Rule("hex", r"[0-9a-f]{40,}", version=2)
+    newer, added = secret_scan.scan(documents, ledger, [assign, access, longer])
+    assert {tuple(r.rules) for r in added.collect()} == {("hex@2",)}
+    found = kinds(newer)
+    assert [x for x in found if x[1] != "hex"] == [x for x in expected if x[1] != "hex"]
+    assert {x[3] for x in found if x[1] == "hex"} == {"hex@2"}
+    assert {x[:3] for x in found if x[1] == "hex"} < {x[:3] for x in expected if x[1] == "hex"}
+    again, nothing = secret_scan.scan(documents, ledger.union(added), [assign, access, longer])
+    assert kinds(again) == found and nothing.count() == 0
+
+
+def test_redaction_keeps_clashing_columns(spark):
+    rows = [(1, f"token={HEX} x", "mine", b"raw", 7, "p"), (2, None, None, None, None, None), (None, "plain", "f", b"", 1, "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, findings string, blob binary, _part int, _0 string")
+    out = sorted(map(tuple, secret_scan.redacted(df).collect()), key=str)
+    assert out == sorted([(1, f"{secret_scan.MASK} x", *rows[0][2:]), *rows[1:]], key=str)
+    assert secret_scan.redacted(df).schema == df.schema and secret_scan.redacted(df.limit(0)).count() == 0
+
+
+def test_many_copies_of_one_text(spark):
+    df = spark.range(500).selectExpr("id AS doc_id", f"'token={HEX}' AS text")
+    found, ledger = secret_scan.scan(df)
+    assert found.where("size(findings) = 2").count() == 500 and ledger.count() == 1
+
+
 def shingle_set(text, size=5):
     words = re.findall(r"[^\W_]+", (text or "").lower())
     return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)}
@@ -121,6 +163,18 @@ def test_decontamination_equals_brute_force(spark, seed):
     assert clean.count() == sum(i not in bad for i, _ in rows) + 1
 
 
+def test_many_rows_of_one_id(spark):
+    """Items in rows of their own under one id, with rows that share words with them all."""
+    rnd = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(900)]
+    items = [(j, " ".join(rnd.choices(vocabulary, k=rnd.randint(6, 60)))) for j in range(400)]
+    documents = [(7, text) for _, text in items] + [(8, " ".join(rnd.choices(vocabulary, k=50))) for _ in range(50)]
+    out = decontaminate.contamination(spark.createDataFrame(documents, "doc_id long, text string"),
+                                      spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(tuple(r) for r in out.collect()) == held(documents, items)
+    assert out.where("doc_id = 7").count() == 400
+
+
 def test_no_items_or_documents(spark):
     documents = spark.createDataFrame([(1, "some words of a document here")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "some words of a document here")], "item_id long, text string")
@@ -161,6 +215,44 @@ def test_notices_tell_versions_apart(spark):
     assert {(r.first_word, r.last_word) for r in found if r.doc_id == 3 and r.license == "GPL-2.0"} == {(2, 14)}
 
 
+def plain_notices(rows, known):
+    """``(doc_id, template_id)`` by plain sets: contained, with all numbers and one lacking word of each lookalike."""
+    sets = [(license, shingle_set(text), re.findall(r"[^\W_]+", text.lower())) for license, text in known]
+    out = set()
+    for j, (license, own, words) in enumerate(sets):
+        if not own:
+            continue
+        n = len(words)
+        numbers = {w for i, w in enumerate(words) if w[0].isdigit() and (
+            n <= license_scan.NOTICE_WORDS or words[i - 1] in ("version", "v")
+            or words[i - 1][0].isdigit() and words[i - 2] in ("version", "v"))}
+        alike = [own - s for other, s, _ in sets if other != license and 100 * len(own & s) >= 80 * len(own) and own - s]
+        for i, text in rows:
+            shared = own & shingle_set(text)
+            if (100 * len(shared) >= 80 * len(own) and numbers <= {w for s in shared for w in s}
+                    and all(shared & lacking for lacking in alike)):
+                out.add((i, j))
+    return out
+
+
+def test_notices_equal_plain_sets(spark):
+    """Every template in a document of its own, with other words and other versions around."""
+    rnd = random.Random(7)
+    rows = []
+    for j, (_, text) in enumerate(license_scan.TEMPLATES):
+        words = text.split()
+        rows.append((len(rows), " ".join(["some", "words", "here", *words, "and", "there"])))
+        if len(words) > 12:
+            words[rnd.randrange(1, len(words) - 1)] = "changed"
+            rows.append((len(rows), " ".join(words)))
+        rows.append((len(rows), re.sub(r"\d", "7", text)))
+    found = license_scan.notices(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.template_id) for r in found} == plain_notices(rows, license_scan.TEMPLATES)
+    by_text = {i: {r.license for r in found if r.doc_id == i} for i, _ in rows}
+    named = {i: license for (license, text) in license_scan.TEMPLATES for i, row in rows if f"here {text} and" in row}
+    assert all(named[i] in by_text[i] for i in named) and len(named) == len(license_scan.TEMPLATES)
+
+
 def test_bands_guarantee_collisions():
     bands = containment.bands_for(0.2, 1e-6)
     assert 0.8 ** bands <= 1e-6 < 0.8 ** (bands - 1)

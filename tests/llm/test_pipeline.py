@@ -1,10 +1,12 @@
 """The corpus pipeline against a version that compares every document with every other."""
 
+import os
 import random
 
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ingotflow.llm import byte_bpe, language_id
@@ -12,6 +14,7 @@ from tests.llm.test_native import brute_force, shingle_set
 from tests.llm.test_near_dedup import edited, reach
 
 HEX = "0123456789abcdef" * 2
+SF_DIR = "/root/testdata/sf0.01"
 
 
 def corpus():
@@ -49,11 +52,11 @@ def masked(text):
     return text
 
 
-def plain_pipeline(rows, items, model):
+def plain_pipeline(rows, items, model, least):
     kept = []
     for i, text, _ in rows:
         (lang,), (score,) = model.predict([text])
-        if lang != "und" and score >= corpus_pipeline.LEAST_SCORE:
+        if lang != "und" and score >= least:
             kept.append((i, text, shingle_set_of_words(text)))
     links = [(i, j) for n, (i, _, s) in enumerate(kept) for j, _, t in kept[:n]
              if 100 * len(s & t) >= 80 * len(s | t)]
@@ -85,7 +88,8 @@ def test_run_equals_plain_version(spark, tables):
     folder, rows, items = tables
     documents = spark.read.parquet(f"{folder}/documents.parquet")
     model = language_id.fit(documents.where("crc32(cast(doc_id AS string)) % 4 <> 2"))
-    expected = plain_pipeline(rows, items, model)
+    held_out = documents.where("crc32(cast(doc_id AS string)) % 4 = 2")
+    expected = plain_pipeline(rows, items, model, language_id.score_bound(held_out, model))
     encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks=(
         byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))).encode_ordinary
     out = {r.doc_id: r for r in corpus_pipeline.run(spark, folder).collect()}
@@ -94,6 +98,18 @@ def test_run_equals_plain_version(spark, tables):
     assert 20 < len(out) < len(rows) - 30
 
 
+@pytest.mark.parametrize("left_out", ["es", "fr", "en"])
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables here")
+def test_a_language_that_was_not_learned_goes(spark, left_out):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("truth", F.col("lang"))
+    docs = docs.withColumn("lang", F.when(F.col("lang") != left_out, F.col("lang")))
+    kept = corpus_pipeline.keep_known_languages(spark, docs, SF_DIR)
+    before, after = ({r["truth"]: r["count"] for r in df.groupBy("truth").count().collect()} for df in (docs, kept))
+    assert after.get(left_out, 0) <= 0.05 * before[left_out]
+    known = [lang for lang in before if lang != left_out]
+    assert sum(after[lang] for lang in known) >= 0.99 * sum(before[lang] for lang in known)
+
+
 def test_stages_keep_columns_and_stand_empty_tables(spark, tables):
     folder, _, _ = tables
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -104,12 +120,20 @@ def test_stages_keep_columns_and_stand_empty_tables(spark, tables):
             assert out.columns == docs.columns
 
 
-def test_null_ids_and_repeated_rows(spark, tables):
-    folder, rows, _ = tables
-    docs = spark.createDataFrame([(i, t, lang, "s", 1) for i, t, lang in (
-        (None, rows[0][1], "xx"), (0, rows[0][1], "xx"), (0, rows[0][1], "xx"), (1, rows[9][1], "xx"))],
-        "doc_id long, text string, lang string, source string, n_chars long")
-    out = corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == [(False, 0), (False, 1), (True, 0)]
-    kept = corpus_pipeline.drop_benchmark_items(spark, docs, folder)
-    assert kept.where("doc_id is null").count() == 1
+def test_rows_are_told_apart_by_their_texts(spark, tables):
+    """Null and repeated ids: copies go, whatever their id; different texts of one id stay."""
+    folder, rows, items = tables
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    first, other = rows[0][1], " ".join(f"own{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, t, "xx", s, 1) for i, t, s in (
+        (None, first, "s"), (3, first, "s"), (3, first, "s"), (5, first, "t"), (3, other, "s"), (3, rows[9][1], "s"),
+        (None, "alone " * 9, "s"), (None, None, "s"), (8, "", "s"), (8, "", "t"))], schema)
+    out = sorted(((r.doc_id, r.text, r.source) for r in corpus_pipeline.drop_near_duplicates(spark, docs, folder)
+                  .collect()), key=str)
+    assert out == sorted([(3, first, "s"), (3, other, "s"), (3, rows[9][1], "s"), (None, "alone " * 9, "s"),
+                          (None, None, "s"), (8, "", "s"), (8, "", "t")], key=str)
+    bad = "so it begins " + items[0][1]
+    docs = spark.createDataFrame([(i, t, "xx", "s", 1) for i, t in (
+        (None, bad), (3, bad), (3, other), (None, other), (None, None))], schema)
+    kept = corpus_pipeline.drop_benchmark_items(spark, docs, folder).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(3, other), (None, other), (None, None)], key=str)
