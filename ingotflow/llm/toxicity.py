@@ -50,8 +50,8 @@ REACH = 3
 #: Logarithms of what a match weighs more next to a target, after a negation, in reported speech, and of what a
 #: threat weighs, before anything is learned.
 PRIOR = (math.log(1.5), math.log(0.3), math.log(0.5), math.log(3.0))
-#: How many documents of the sample the prior counts as.
-TRUST = 5.0
+#: How many documents of the sample a factor that differs from its prior by one must be worth.
+TRUST = 0.2
 
 TARGETS = frozenset("you your yours yourself they them he him she her".split())
 NEGATIONS = frozenset("not never no neither nor isn't aren't wasn't don't nicht kein pas jamais nunca".split())
@@ -240,9 +240,9 @@ def fit_factors(amounts: np.ndarray, words: np.ndarray, label: np.ndarray, weigh
         likely = np.where(label == 1, p, 1 - p)
         return float(-(weight * np.log(likely)).sum() + trust * ((factors - prior) ** 2).sum()), curve
 
-    factors, step = prior, 0.5
+    factors, step = prior, 0.4
     best, curve = loss(factors)
-    while step > 0.02:
+    while step > 0.01:
         tries = [(*loss(moved), moved) for i in range(4) for sign in (1, -1)
                  if (moved := factors + sign * step * np.eye(4)[i]) is not None]
         least, its_curve, moved = min(tries, key=lambda t: t[0])
