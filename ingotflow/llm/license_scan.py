@@ -11,8 +11,8 @@ one place of the document, where the words that the template's start would have
 template of up to ``NOTICE_WORDS`` words every number is a version number, in a longer one (a whole license
 text, whose clauses are numbered) those after "version".
 
-The default templates are common notices, as works carry them, and three license texts: no collection of all
-licenses. Identifiers of fewer than five words (``SPDX`` lines) are none; ``known`` takes any other table.
+The default templates are common notices, as works carry them, and the terms of MIT and BSD-3-Clause: no collection
+of all licenses. Identifiers of fewer than five words (``SPDX`` lines) are none; ``known`` takes any other table.
 
 Edge cases: null and empty texts, and texts of fewer than five words, hold no template; a template of
 fewer than five words is never found. Rows with a null id take no part. Rows that repeat an id are one
