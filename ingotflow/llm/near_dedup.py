@@ -13,7 +13,9 @@ of one is a hash of ``MINIMA`` minima, so two sets of similarity J agree in a co
   component together, and in blocks, so that a set is sent once per block, not per list or pair. Where they are more than ``FEW``, the list is first split by each later
   coordinate; a pair with ``MATCHES`` agreements meets again in one of these.
 * Count: the coordinates in which a pair agrees; pairs with fewer than ``MATCHES`` are dropped.
-* Confirm: the rest are compared on their full sets, rebuilt from the texts.
+* Confirm: the rest are compared on their full sets, rebuilt from the texts where these are read. A bitmap of
+  fixed size leaves out most rows that are in no pair, so whole texts are never shuffled, and of the others' sets
+  few. Written steps are deleted once the next one is written.
 
 With the settings below a pair at similarity 0.8 is missed with a probability of about one in a million,
 and less above. Components of the confirmed links are found by star contraction.
