@@ -706,7 +706,8 @@ def stream_admission(spark, sf_dir):
         F.lit(batches).alias("batches"), "row_count")
 
 
-OFFSETS = 700
+#: Offsets of a micro-batch, as a part of the topic's.
+BATCH_PART = 6
 
 
 @query("SELECT count(*) AS row_count, count(DISTINCT event_id) AS offsets, true AS within_limit, true AS several "
@@ -714,15 +715,16 @@ OFFSETS = 700
 def stream_offset_admission(spark, sf_dir):
     """Micro-batches of at most so many offsets, none lost."""
     base = scratch_dir(spark, "stream")
-    write_topic_files(_event_messages(spark, sf_dir), f"{base}/topic", OFFSETS // 2)
+    limit = max(2, table(spark, sf_dir, "events").count() // BATCH_PART)
+    write_topic_files(_event_messages(spark, sf_dir), f"{base}/topic", limit // 2)
     jobs.topic_to_bronze(
-        read_topic_files(spark, f"{base}/topic", max_offsets=OFFSETS, offsets_per_file=OFFSETS // 2),
+        read_topic_files(spark, f"{base}/topic", max_offsets=limit, offsets_per_file=limit // 2),
         f"{base}/bronze", f"{base}/checkpoint", compact_every=None)
     batches = (read_bronze_stream(spark, f"{base}/bronze")
                .groupBy(F.regexp_extract(F.col("_metadata.file_path"), "batch=([0-9]+)", 1)).agg(
                    F.count("*").alias("rows"), F.count_distinct("_kafka_offset").alias("offsets")))
     return batches.agg(F.sum("rows").alias("row_count"), F.sum("offsets").alias("offsets"),
-                       (F.max("rows") <= OFFSETS).alias("within_limit"), (F.count("*") > 1).alias("several"))
+                       (F.max("rows") <= limit).alias("within_limit"), (F.count("*") > 1).alias("several"))
 
 
 @query("SELECT count(*) AS row_count, count(DISTINCT event_id) AS keys FROM events WHERE event_id % 3 <> 2")

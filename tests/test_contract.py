@@ -16,7 +16,8 @@ SLOW = {"landing_hourly", "landing_scan", "pipeline_file", "pipeline_stream", "s
         "stream_incremental", "silver_merge_upsert", "silver_merge_small_source", "compaction",
         "time_travel_count", "catalog_tables", "bronze_append_new", "landing_backfill",
         "landing_restart", "stream_admission", "silver_uniqueness_after_merge",
-        "gold_table_status_summary", "gold_table_top_products", "compaction_rows", "stream_compaction"}
+        "gold_table_status_summary", "gold_table_top_products", "compaction_rows", "stream_compaction",
+        "stream_offset_admission", "silver_merge_bucketed"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables here")
 
