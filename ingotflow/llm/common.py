@@ -46,12 +46,12 @@ def bounded_sample(rows: DataFrame, limit: int) -> DataFrame:
             .withColumn("_rank", F.row_number().over(lowest)).where(F.col("_rank") <= limit).drop("_rank"))
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of bounded rows and text bytes (one row at least); ``text`` is the column."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
-        if i > start and (i - start >= SLICE_ROWS or held + size > SLICE_BYTES):
+        if i > start and (i - start >= SLICE_ROWS or held + size > most):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size
@@ -60,11 +60,11 @@ def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
 
 
 def map_slices(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], text: int,
-               schema: str | StructType) -> DataFrame:
+               schema: str | StructType, most: int = SLICE_BYTES) -> DataFrame:
     """Map each slice of the frame's Arrow batches; rows stay in their partitions."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, most):
                 yield function(part)
 
     return df.mapInArrow(apply, schema)

@@ -41,6 +41,8 @@ SHARE = 0.4
 #: n-grams seen less often than this in the whole sample are ignored.
 LEAST = 2
 CELLS, HASHES = 1 << 20, 3
+#: Text bytes looked up at once; each takes some forty bytes of memory meanwhile.
+LOOKUP_BYTES = 1 << 19
 #: A language is taken for known from this share of the score that all but this part of known documents reach.
 BOUND_SHARE, BOUND_QUANTILE = 0.65, 0.01
 
@@ -124,7 +126,7 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_
     """Learn the filters from a bounded sample of labelled rows."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, LOOKUP_BYTES):
                 values, begins = grams([t.encode() for t in part.column(1).to_pylist()])
                 for i, name in enumerate(part.column(0).to_pylist()):
                     gram, n = np.unique(values[begins[i]:begins[i + 1]], return_counts=True)
@@ -159,7 +161,7 @@ def identify(df: DataFrame, model: LanguageFilters, text: str = "text", key: str
 
     rows = df.select(F.col(text).alias("_text"), F.col(key), *keep)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[1:])
-    return map_slices(rows, apply, 0, f"{kept}, lang_pred string, score double")
+    return map_slices(rows, apply, 0, f"{kept}, lang_pred string, score double", LOOKUP_BYTES)
 
 
 def score_bound(df: DataFrame, model: LanguageFilters, label: str = "lang", text: str = "text", key: str = "doc_id",
@@ -179,4 +181,4 @@ def accepted(df: DataFrame, model: LanguageFilters, least: float, text: str = "t
         names, score = shared.value.predict(batch.column(at).to_pylist())
         return batch.filter(pa.array((score >= least) & (np.array(names, object) != UNKNOWN), pa.bool_()))
 
-    return map_slices(df, apply, at, df.schema)
+    return map_slices(df, apply, at, df.schema, LOOKUP_BYTES)
