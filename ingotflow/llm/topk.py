@@ -91,7 +91,8 @@ def search(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vec
 
     def grid(side: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         """Each row once for every block of the other side."""
-        return (side.withColumn(own, F.pmod(F.xxhash64("vec_id", "copy"), F.lit(n_own)))
+        # both numbers of a type: sides whose keys differ in it are dealt out differently
+        return (side.withColumn(own, F.pmod(F.xxhash64("vec_id", "copy"), F.lit(n_own)).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))))
 
     queries = (rows.where("asks").select("vec_id", "vector", F.xxhash64("vector").alias("copy"))

@@ -334,3 +334,18 @@ def test_topk_of_little(spark):
     assert topk.search(df, asks).count() == 0 and topk.search(df.limit(0), asks).count() == 0
     two = df.union(spark.createDataFrame([(1, [0.5])], df.schema))
     assert [tuple(r) for r in topk.search(two, asks).collect()] == [(0, 1, 1, 256 * 128)]
+
+
+def test_topk_blocks_meet_in_separate_partitions(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        out = topk.search(df, F.col("vec_id") % 10 == 0, k=5, query_rows=7, candidate_rows=30).collect()
+    finally:
+        spark.conf.set(setting, before)
+    kept = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    assert sorted(map(tuple, out)) == brute_topk(kept, 5, 10)
