@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingotflow.schemas import EVENT_COLUMNS
+from ingotflow.storage import size_of
 
 # column -> SQL shared by both engines; {text} is the engine's string type, {time} its event time.
 EXPRESSIONS = {
@@ -53,6 +54,8 @@ TIMES = {
               "to_seconds(1440 * datediff('day', TIMESTAMP '1995-01-01', l_shipdate))",
 }
 SPLIT_BYTES = 128 * 1024 * 1024
+# Parquet bytes of lines for each partition that a shuffle begins with.
+BYTES_PER_PARTITION = 4 * 1024 * 1024
 # Rows of one order_id and time differ in nothing that these three columns do not decide.
 TIES = ["product_id", "quantity", "total_amount"]
 JOINS = [
@@ -80,10 +83,22 @@ def _projection(columns: Sequence[str], engine: str, amount: str) -> list[str]:
 def order_view(spark: SparkSession, sf_dir: str, columns: Sequence[str] = EVENT_COLUMNS,
                amount: str = "decimal") -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = _spread(table(spark, sf_dir, "lineitem"))
-    for name, left, right in _joins(columns):
-        df = df.join(table(spark, sf_dir, name), F.col(left) == F.col(right))
-    return df.selectExpr(*_projection(columns, "spark", amount))
+    _deal_by_size(spark, f"{sf_dir}/lineitem.parquet")
+    joins = {name: (left, right) for name, left, right in _joins(columns)}
+
+    def joined(df: DataFrame, *names: str) -> DataFrame:
+        for name in names:
+            if name in joins:
+                left, right = joins[name]
+                df = df.join(table(spark, sf_dir, name), F.col(left) == F.col(right))
+        return df
+
+    # lines move once by part, while they are narrow, and once by order; customers come with the orders
+    lines = _spread(joined(table(spark, sf_dir, "lineitem"), "part"))
+    orders = joined(table(spark, sf_dir, "orders"), "customer", "nation")
+    left, right = joins["orders"]
+    return (lines.join(orders, F.col(left) == F.col(right))
+            .selectExpr(*_projection(columns, "spark", amount)))
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -92,6 +107,15 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition("l_orderkey")
 
 
+def _deal_by_size(spark: SparkSession, path: str) -> None:
+    """Let shuffles begin with partitions in proportion to the lines, which adaptive execution joins where they
+    are small; a fixed number of them would grow with the input, and the memory of their tasks too."""
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(at_least, -(-size_of(spark, path) // BYTES_PER_PARTITION))
+    spark.conf.set(setting, max(wanted, int(spark.conf.get(setting, None) or 0)))
+
+
 def order_sql(columns: Sequence[str] = EVENT_COLUMNS, amount: str = "decimal") -> str:
     joins = " ".join(f"JOIN {name} ON {left} = {right}" for name, left, right in _joins(columns))
     return f"SELECT {', '.join(_projection(columns, 'duckdb', amount))} FROM lineitem {joins}"

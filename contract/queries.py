@@ -666,9 +666,11 @@ def flatten_record(spark, sf_dir):
 # -- streaming -------------------------------------------------------------------------------
 
 def _publish(spark: SparkSession, sf_dir: str, topic: str, condition: str | None = None) -> None:
-    """Write messages spread by key, as over a topic's partitions, in files of one flush of rows."""
-    spread = _orders(spark, sf_dir, condition).repartition("order_id")
-    (_as_topic_rows(spread).write.mode("append").option("maxRecordsPerFile", FLUSH_ROWS)
+    """Write messages spread by key, as over a topic's partitions, in files of one flush of rows.
+
+    The order view is spread by the order's key already.
+    """
+    (_as_topic_rows(_orders(spark, sf_dir, condition)).write.mode("append").option("maxRecordsPerFile", FLUSH_ROWS)
      .parquet(topic))
 
 
