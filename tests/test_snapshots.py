@@ -177,3 +177,15 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(session("spark://host:7077"), "x")
     assert scratch_dir(session("local[2]"), "x")
+
+
+def test_large_partitions_are_compacted_without_a_shuffle(spark, table, monkeypatch):
+    for v in range(6):
+        table.append(frame(spark, *((f"{v}-{i}", T1, i) for i in range(50)), (f"{v}-z", None, 7)).repartition(4))
+    before, expected = files(table), rows(table.read(), "*")
+    monkeypatch.setattr(table, "_write", None)  # no partition may need the shared shuffle
+    large = min(sum(p.bytes for p in found) for found in table.snapshot().pieces.values())
+    table.compact(large // 5)
+    assert files(table) < before and rows(table.read(), "*") == expected
+    assert rows(table.read(table.versions()[-2]), "*") == expected
+    assert f"order_date={NULL_VALUE}" in table.snapshot().pieces
