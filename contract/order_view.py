@@ -94,7 +94,8 @@ def order_view(spark: SparkSession, sf_dir: str, columns: Sequence[str] = EVENT_
         return df
 
     # lines move once by part, while they are narrow, and once by order; customers come with the orders
-    lines = _spread(joined(table(spark, sf_dir, "lineitem"), "part"))
+    dated = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    lines = _spread(joined(dated, "part"))
     orders = joined(table(spark, sf_dir, "orders"), "customer", "nation")
     left, right = joins["orders"]
     return (lines.join(orders, F.col(left) == F.col(right))

@@ -671,7 +671,7 @@ def _publish(spark: SparkSession, sf_dir: str, topic: str, condition: str | None
     The order view is spread by the order's key already.
     """
     (_as_topic_rows(_orders(spark, sf_dir, condition)).write.mode("append").option("maxRecordsPerFile", FLUSH_ROWS)
-     .parquet(topic))
+     .option("compression", "zstd").parquet(topic))
 
 
 def _streamed(spark: SparkSession, base: str, checkpoint: str = "checkpoint") -> str:

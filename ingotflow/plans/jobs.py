@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ingotflow import storage
 from ingotflow.operators.dedup import latest_per_key
 from ingotflow.operators.enrich import (
     add_file_metadata,
@@ -22,9 +24,11 @@ from ingotflow.operators.enrich import (
     select_stream_columns,
 )
 from ingotflow.operators.gold import gold_models
+from ingotflow.operators.places import BITS, FILE, ROW, files_of, has_places, marks, taken, with_places
 from ingotflow.operators.quality import validate
-from ingotflow.operators.upsert import merge_statement
+from ingotflow.operators.upsert import MATCHED, is_newer, merge_statement, require_same_columns
 from ingotflow.schemas import EVENT_COLUMNS, ORDER_SCHEMA_JSON
+from ingotflow.session import setting
 from ingotflow.sinks.bronze import append_bronze, compact_bronze
 from ingotflow.sinks.catalog import create_databases, register_silver
 from ingotflow.sinks.gold import build_table
@@ -51,6 +55,13 @@ COMPACT_EVERY = 100
 #: Table formats whose tables Spark merges into by row. Fixed values.
 MERGE_FORMATS = frozenset(["delta", "hudi", "iceberg", "paimon"])
 SILVER_TABLE = "silver.orders"
+#: Bytes of bronze from which a silver run moves keys and places of rows instead of the rows.
+LARGE_BYTES = 32 * 1024 * 1024
+#: Where nothing changes, adaptive execution would leave out the step that counts.
+EXCLUDED_RULES = "spark.sql.adaptive.optimizer.excludedRules"
+KEEP_EMPTY = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+#: Kinds of places: the only newest row of a key, one of several, the first of these, a row of silver to replace.
+KIND, SOLE, TIED, FIRST, LOST = "_kind", 0, 1, 2, 3
 
 
 def topic_to_landing(messages: DataFrame, landing: str, checkpoint: str,
@@ -172,8 +183,91 @@ def _merge_snapshot(table: SnapshotTable, rows: DataFrame, counts: dict[str, Obs
     return merged
 
 
+def _holds_keys_once(table: SnapshotTable) -> bool:
+    """Whether each key has one row at most, and no bucketed keys are kept beside."""
+    if not table.exists():
+        return True
+    snapshot = table.snapshot()
+    return snapshot.unique_key == KEY and snapshot.keys is None
+
+
+def _changed_places(rows: DataFrame, target: DataFrame | None,
+                    observe: Callable[..., DataFrame]) -> DataFrame:
+    """Where the valid ``rows`` lie that insert or update, and the rows of ``target`` that they replace."""
+    by_key = Window.partitionBy(KEY)
+    newest_first = by_key.orderBy(F.col(TIMESTAMP).desc())
+    newest = (rows.select(KEY, TIMESTAMP, FILE, ROW)
+              .withColumns({"_rank": F.rank().over(newest_first), "_number": F.row_number().over(newest_first)})
+              .filter(F.col("_rank") == 1)
+              .withColumn("_tied", F.count(F.lit(1)).over(by_key) > 1))
+    is_first = F.col("_number") == 1
+    newest = observe("latest", newest, F.when(is_first, 1))
+
+    def place(kind: int, condition: Column, file: str = FILE, row: str = ROW) -> Column:
+        return F.when(condition, F.struct(
+            F.lit(kind).alias(KIND), F.col(file).alias(FILE), F.col(row).alias(ROW)))
+
+    found = [place(SOLE, ~F.col("_tied")), place(TIED, F.col("_tied")), place(FIRST, F.col("_tied") & is_first)]
+    if target is not None:
+        known = with_places(target).select(
+            F.col(KEY).alias("_old_key"), F.col(TIMESTAMP).alias("_old_time"), F.col(FILE).alias("_old_file"),
+            F.col(ROW).alias("_old_row"), F.lit(True).alias(MATCHED))
+        joined = newest.join(known, F.col(KEY) == F.col("_old_key"), "left")
+        newest = joined.filter(F.col(MATCHED).isNull() | is_newer(F.col(TIMESTAMP), F.col("_old_time")))
+        found.append(place(LOST, is_first & F.col(MATCHED), "_old_file", "_old_row"))
+    return newest.select(F.explode(F.array_compact(F.array(*found))).alias("_place")).select("_place.*")
+
+
+def _merge_by_places(table: SnapshotTable, bronze: DataFrame, profile: Profile,
+                     observe: Callable[..., DataFrame]) -> MergeResult | None:
+    """The merge of ``silver_rows``, by moving keys and places; none if the rows have no places.
+
+    Only rows that tie for the newest of their key move as a whole, to be told apart by content.
+    """
+    spark, current = table.spark, table.snapshot() if table.exists() else None
+    target = table.read() if current else None
+    scans = [df for df in (bronze, target) if df is not None]
+    if not all(map(has_places, scans)) or None in (files := [files_of(df) for df in scans]):
+        return None
+    schema = profile.select(cast_and_derive(bronze)).schema
+    if target is not None:
+        require_same_columns(target, spark.createDataFrame([], schema))
+    scratch = f"{table.root}/staging/merge-{uuid.uuid4().hex}"
+    try:
+        rows = observe("valid", validate(observe("read", cast_and_derive(with_places(bronze)))))
+        with setting(spark, EXCLUDED_RULES, KEEP_EMPTY):
+            marked = storage.stage(marks(_changed_places(rows, target, observe), KIND), f"{scratch}/marks")
+        chunks, places = defaultdict(dict), defaultdict(int)
+        for kind, file, held, count in marked.groupBy(KIND, FILE).agg(
+                F.count("*"), F.sum(F.bitmap_count(BITS))).collect():
+            chunks[kind][file] = held
+            places[kind] += count
+        lost = {files[1][file].split("/")[-2] for file in chunks[LOST]}
+
+        def rows_of(kind: int) -> Iterator[DataFrame]:
+            return taken(bronze, marked.where(F.col(KIND) == kind), chunks[kind], files[0])
+
+        def frames() -> Iterator[DataFrame]:
+            for part in rows_of(SOLE):
+                yield profile.select(cast_and_derive(part))
+            for part in rows_of(TIED):
+                part.write.mode("append").parquet(f"{scratch}/tied")
+            if chunks[TIED]:
+                tied = spark.read.schema(bronze.schema).parquet(f"{scratch}/tied")
+                yield silver_rows(tied, profile)
+            if lost:
+                losing = {file: path for file, path in files[1].items() if path.split("/")[-2] in lost}
+                yield from taken(table.read_partitions(lost), marked.where(F.col(KIND) == LOST), chunks[LOST],
+                                 losing, others=True)
+
+        taken_in = table.take_in(frames(), schema, KEY, lost)
+        return MergeResult(taken_in.version, places[LOST], places[SOLE] + places[FIRST] - places[LOST])
+    finally:
+        storage.delete_tree(spark, scratch)
+
+
 def silver_rows(bronze: DataFrame, profile: Profile,
-                observe: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> DataFrame:
+                observe: Callable[..., DataFrame] = lambda name, df: df) -> DataFrame:
     """Bronze to silver rows: cast, validate, then dedup, so invalid records shadow nothing."""
     typed = observe("read", cast_and_derive(bronze))
     valid = observe("valid", validate(typed))
@@ -200,19 +294,23 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, profile: str
     shape = PROFILES[profile]
     counts: dict[str, Observation] = {}
 
-    def observe(name: str, df: DataFrame) -> DataFrame:
+    def observe(name: str, df: DataFrame, counted: Column = F.lit(1)) -> DataFrame:
         if table is not None or name == "read" and not count_read:
             return df
         counts[name] = Observation()
-        return df.observe(counts[name], F.count(F.lit(1)).alias("rows"))
+        return df.observe(counts[name], F.count(counted).alias("rows"))
 
-    rows = silver_rows(shape.read(spark, bronze, since=since), shape, observe)
+    read, snapshots, merged = shape.read(spark, bronze, since=since), silver_table(spark, silver), None
     if table is not None:
-        merge_into(rows, table)
-        merged = None
+        merge_into(silver_rows(read, shape), table)
     else:
-        merged = _merge_snapshot(silver_table(spark, silver), rows, counts, compact, source_is_small,
-                                 key_buckets)
+        by_places = (storage.size_of(spark, bronze) >= LARGE_BYTES and not source_is_small and not key_buckets
+                     and _holds_keys_once(snapshots))
+        if by_places and (merged := _merge_by_places(snapshots, read, shape, observe)) and compact:
+            snapshots.compact()
+        if merged is None:
+            merged = _merge_snapshot(snapshots, silver_rows(read, shape, observe), counts, compact,
+                                     source_is_small, key_buckets)
     run = SilverRun(*(counts[n].get["rows"] if n in counts else None
                       for n in ("read", "valid", "latest")), merged)
     logger.info("silver: %s", run)

@@ -16,6 +16,8 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
+from collections.abc import Collection, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 from datetime import date
 from typing import NamedTuple
@@ -32,12 +34,19 @@ from ingotflow.operators.upsert import (
     changed_rows,
     require_same_columns,
 )
+from ingotflow.session import setting
 
 WRITE = "snap_write"
 NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 SMALL_FILE_BYTES = 64 * 1024 * 1024
-#: A partition that holds as many small files' bytes is compacted in a job of its own, without a shuffle.
-ALONE = 2
+#: A partition that holds as many bytes of small files is compacted in a job of its own, without a shuffle;
+#: so many of these jobs run at a time.
+ALONE_BYTES = 1024 * 1024
+ALONE_JOBS = 8
+CODEC = "zstd"
+#: Files that a task keeps open, so that it need not sort its rows by date.
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+MAX_OPEN_FILES = 64
 #: Table property that says which root's snapshot a numbered table holds.
 SNAPSHOT_PROPERTY = "ingotflow.snapshot"
 
@@ -151,7 +160,7 @@ class SnapshotTable:
         write = uuid.uuid4().hex
         sized = df.hint("rebalance", self.partition) if rebalance else df
         target = f"{self._data}/{WRITE}={write}"
-        sized.write.partitionBy(self.partition).parquet(target)
+        sized.write.option("compression", CODEC).partitionBy(self.partition).parquet(target)
         return {p: Piece(write, *sizes, rebalance)
                 for p, sizes in storage.files_and_bytes(self.spark, target).items()}
 
@@ -176,6 +185,26 @@ class SnapshotTable:
             current, version=current.version + 1, unique_key=None, keys=None,
             pieces=_joined(current.pieces, {p: [piece] for p, piece in written.items()})))
 
+    def take_in(self, frames: Iterable[DataFrame], schema: T.StructType, unique_key: str | None,
+                lost: Collection[str] = ()) -> Snapshot:
+        """The next snapshot: ``frames`` join it, the partitions ``lost`` leave it; creates the table when there
+        is none. Rows are written by the tasks that read them; ``compact`` joins the files.
+        """
+        current = self.snapshot() if self.exists() else None
+        schema = current.schema if current else _nullable(schema)
+        versions = self.versions()
+        with setting(self.spark, OPEN_FILES, MAX_OPEN_FILES):
+            written = [self._write(df.select(*schema.names), rebalance=False) for df in frames]
+        rest = {p: found for p, found in current.pieces.items() if p not in lost} if current else {}
+        return self._publish(Snapshot(
+            versions[-1] + 1 if versions else 0, schema,
+            _joined(rest, *({p: [piece] for p, piece in part.items()} for part in written)), unique_key))
+
+    def read_partitions(self, names: Collection[str]) -> DataFrame:
+        """The newest snapshot's partitions of these directory names."""
+        current = self.snapshot()
+        return self._scan(current.schema, {p: current.pieces[p] for p in names})
+
     def merge(self, source: DataFrame, key: str, timestamp: str, source_is_small: bool = False,
               key_buckets: int | None = None) -> MergeResult:
         """Event-time upsert of ``source`` (one row per key) as the next snapshot.
@@ -243,8 +272,8 @@ class SnapshotTable:
         """Same rows, fewer files: rewrite the pieces that are small, or made of small files.
 
         A piece already sized and large enough is never picked again, so repeated runs cost what
-        is new. Large partitions are rewritten one by one, each by the splits of its scan; only the small
-        ones share a shuffle that sizes their files. Unchanged when there is nothing to gain.
+        is new. Partitions are rewritten each in a job of its own, by the splits of its scan; only the smallest
+        share a shuffle that sizes their files. Unchanged when there is nothing to gain.
         """
         current = self.snapshot()
         small = {}
@@ -256,15 +285,20 @@ class SnapshotTable:
         if not small:
             return current
         bytes_of = {partition: sum(p.bytes for p in picked) for partition, picked in small.items()}
-        alone = {p: picked for p, picked in small.items() if bytes_of[p] >= ALONE * small_file_bytes}
+        alone = {p: picked for p, picked in small.items()
+                 if bytes_of[p] >= min(ALONE_BYTES, 2 * small_file_bytes)}
         together = {p: picked for p, picked in small.items() if p not in alone}
         written = self._write(self._scan(current.schema, together)) if together else {}
         write = uuid.uuid4().hex
-        for partition, picked in alone.items():  # its scan's tasks are sized already: each joins many files
-            (self._scan(current.schema, {partition: picked}).drop(self.partition)
-             .coalesce(bytes_of[partition] // small_file_bytes)
-             .write.parquet(self._dir(partition, Piece(write, 0, 0, True))))
+
+        def rewrite(partition: str) -> None:  # its scan's tasks are sized already: each joins many files
+            (self._scan(current.schema, {partition: alone[partition]}).drop(self.partition)
+             .coalesce(max(1, bytes_of[partition] // small_file_bytes))
+             .write.option("compression", CODEC).parquet(self._dir(partition, Piece(write, 0, 0, True))))
+
         if alone:
+            with ThreadPoolExecutor(ALONE_JOBS) as jobs:
+                list(jobs.map(rewrite, alone))
             written |= {p: Piece(write, *sizes, True) for p, sizes in storage.files_and_bytes(
                 self.spark, f"{self._data}/{WRITE}={write}").items()}
         rest = {partition: [p for p in found if p not in small.get(partition, [])]

@@ -70,7 +70,7 @@ def write_batch_by_date(df: DataFrame, query_id: str, batch_id: int, path: str,
     sized = located.hint("rebalance", INGESTION_DATE) if optimize_write else located
     (sized.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .option("compression", "snappy")
+     .option("compression", "zstd")
      .partitionBy(INGESTION_DATE, GENERATION, BATCH)
      .parquet(path))
 
@@ -175,7 +175,7 @@ def compact_batches(spark: SparkSession, path: str, schema: T.StructType,
                & (F.col(BATCH) == F.col("_batch")))
      .select(*schema.names, GENERATION, F.col("_target").alias(BATCH))
      .hint("rebalance", INGESTION_DATE, GENERATION, BATCH)
-     .write.option("compression", "snappy").partitionBy(INGESTION_DATE, GENERATION, BATCH).parquet(draft))
+     .write.option("compression", "zstd").partitionBy(INGESTION_DATE, GENERATION, BATCH).parquet(draft))
     for target in joined:
         if storage.exists(spark, f"{draft}/{target.directory}"):  # no rows, no directory
             storage.move(spark, f"{draft}/{target.directory}", f"{path}/{target.directory}")
