@@ -2,7 +2,8 @@
 
 A row's place is its file, as a hash of the path, and its position in it. Chosen places become bitmaps, one for
 ``CHUNK_ROWS`` rows of a file, and a scan of the whole rows tests them. The bitmaps are broadcast for at most
-``CHUNKS_AT_ONCE`` chunks or one file at a time, so no task holds those of a whole table.
+``CHUNKS_AT_ONCE`` chunks or one file at a time, so no task holds those of a whole table; a file counts as
+``CHUNKS_A_FILE`` at least, as its name is held too.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ FILE, ROW, BITS = "_place_file", "_place_row", "_place_bits"
 CHUNK = "_place_chunk"
 CHUNK_ROWS = 1024
 CHUNKS_AT_ONCE = 65_536
+CHUNKS_A_FILE = 32
 IS_MARKED = (f"getbit(cast(conv(hex(substring({BITS}, cast({ROW} % {CHUNK_ROWS} div 8 AS int) + 1, 1)), 16, 10) "
              f"AS bigint), cast({ROW} % 8 AS int)) = 1")
 
@@ -68,6 +70,7 @@ def taken(df: DataFrame, marked: DataFrame, chunks: Mapping[int, int], files: Ma
 def _groups(chunks: Mapping[int, int]) -> Iterator[list[int]]:
     group, held = [], 0
     for file, count in sorted(chunks.items()):
+        count = max(count, CHUNKS_A_FILE)
         if group and held + count > CHUNKS_AT_ONCE:
             yield group
             group, held = [], 0
