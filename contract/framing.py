@@ -65,11 +65,11 @@ def encode_record(record: Column) -> Column:
 
 
 def as_messages(orders: DataFrame, partition: Column, offset: Column,
-                timestamp: Column) -> DataFrame:
-    """Order rows (amounts as doubles) as rows of the topic."""
+                timestamp: Column, *beside: Column) -> DataFrame:
+    """Order rows (amounts as doubles) as rows of the topic, with columns ``beside`` these."""
     value = F.concat(F.lit(MARKER + SCHEMA_ID), encode_record(F.struct(*EVENT_COLUMNS)))
     return orders.select(
         F.col("order_id").cast("binary").alias("key"), value.alias("value"),
         F.lit("orders.raw").alias("topic"), partition.cast("int").alias("partition"),
         offset.cast("bigint").alias("offset"), timestamp.cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"))
+        F.lit(0).alias("timestampType"), *beside)

@@ -81,9 +81,10 @@ def _projection(columns: Sequence[str], engine: str, amount: str) -> list[str]:
 
 
 def order_view(spark: SparkSession, sf_dir: str, columns: Sequence[str] = EVENT_COLUMNS,
-               amount: str = "decimal") -> DataFrame:
+               amount: str = "decimal", tasks: int | None = None) -> DataFrame:
+    """``tasks`` leaves the rows to so many tasks, each of which joins partitions one after the other."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    _deal_by_size(spark, f"{sf_dir}/lineitem.parquet")
+    partitions = _deal_by_size(spark, f"{sf_dir}/lineitem.parquet")
     joins = {name: (left, right) for name, left, right in _joins(columns)}
 
     def joined(df: DataFrame, *names: str) -> DataFrame:
@@ -95,26 +96,28 @@ def order_view(spark: SparkSession, sf_dir: str, columns: Sequence[str] = EVENT_
 
     # lines move once by part, while they are narrow, and once by order; customers come with the orders
     dated = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
-    lines = _spread(joined(dated, "part"))
+    lines = _spread(joined(dated, "part"), tasks and -(-partitions // tasks) * tasks)
     orders = joined(table(spark, sf_dir, "orders"), "customer", "nation")
     left, right = joins["orders"]
-    return (lines.join(orders, F.col(left) == F.col(right))
-            .selectExpr(*_projection(columns, "spark", amount)))
+    rows = lines.join(orders, F.col(left) == F.col(right)).selectExpr(*_projection(columns, "spark", amount))
+    return rows.coalesce(tasks) if tasks else rows
 
 
-def _spread(df: DataFrame) -> DataFrame:
+def _spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Spread the fixture's rows over the tasks, at any size: a row group is never split, so the driver's
     single files would be one task each."""
-    return df.repartition("l_orderkey")
+    return df.repartition(partitions, "l_orderkey") if partitions else df.repartition("l_orderkey")
 
 
-def _deal_by_size(spark: SparkSession, path: str) -> None:
+def _deal_by_size(spark: SparkSession, path: str) -> int:
     """Let shuffles begin with partitions in proportion to the lines, which adaptive execution joins where they
     are small; a fixed number of them would grow with the input, and the memory of their tasks too."""
     setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(at_least, -(-size_of(spark, path) // BYTES_PER_PARTITION))
-    spark.conf.set(setting, max(wanted, int(spark.conf.get(setting, None) or 0)))
+    partitions = max(wanted, int(spark.conf.get(setting, None) or 0))
+    spark.conf.set(setting, partitions)
+    return partitions
 
 
 def order_sql(columns: Sequence[str] = EVENT_COLUMNS, amount: str = "decimal") -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +42,10 @@ from ingotflow.schemas import (
     SILVER_BASE_COLUMNS,
     load_record_schema,
 )
+from ingotflow.session import setting
 from ingotflow.sinks.bronze import append_bronze, compact_bronze
 from ingotflow.sinks.catalog import create_databases, list_databases, register_silver
+from ingotflow.snapshots import MAX_OPEN_FILES, OPEN_FILES
 from ingotflow.sources.landing import read_landing
 from ingotflow.sources.tables import (
     bronze_table,
@@ -54,7 +56,7 @@ from ingotflow.sources.tables import (
     silver_table,
 )
 from ingotflow.sources.topic import read_topic_files, write_topic_files
-from ingotflow.storage import delete_tree, write_new_text
+from ingotflow.storage import delete_tree, list_names, make_dir, move, write_new_text
 from ingotflow.streaming.sinks import FLUSH_ROWS, run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +68,8 @@ SILVER_DB, GOLD_DB = "contract_silver", "contract_gold"
 KEYS = ["order_id", "order_timestamp", *TIES]
 # Two arrivals: a condition on the line status, and its complement for whatever else there is.
 BATCHES = ("coalesce(line_status = 'F', false)", "coalesce(line_status <> 'F', true)")
+ARRIVAL = "arrival"
+FIRST_OR_LATER = f"CASE WHEN {BATCHES[0]} THEN 0 ELSE 1 END AS {ARRIVAL}"
 POSITION = ["_kafka_partition", "_kafka_offset", "_kafka_timestamp"]
 
 
@@ -465,6 +469,25 @@ def _land(orders: DataFrame, path: str) -> None:
     orders.write.mode("append").option("maxRecordsPerFile", FLUSH_ROWS).parquet(path)
 
 
+def _stage_arrivals(rows: DataFrame, path: str, max_records: int = 0) -> None:
+    """Write the rows of both arrivals in one pass, each below a folder of its own."""
+    with setting(rows.sparkSession, OPEN_FILES, MAX_OPEN_FILES):
+        (rows.write.option("maxRecordsPerFile", max_records).option("compression", "zstd")
+         .partitionBy(ARRIVAL).parquet(path))
+
+
+def _arrive(spark: SparkSession, staged: str, number: int, folder: str, nested: bool) -> None:
+    """Let a staged arrival into a folder: as a folder of its own, or file by file."""
+    make_dir(spark, folder)
+    arrival = f"{staged}/{ARRIVAL}={number}"
+    names = list_names(spark, arrival)
+    if names and nested:
+        move(spark, arrival, f"{folder}/{number}")
+        return
+    for name in names:  # both arrivals have files of the same names
+        move(spark, f"{arrival}/{name}", f"{folder}/{number}-{name}")
+
+
 @query(f"WITH orders_once AS ({order_sql(amount='double')}) SELECT {', '.join(EVENT_COLUMNS)} "
        f"FROM (SELECT * FROM orders_once UNION ALL SELECT * FROM orders_once)")
 def bronze_append(spark, sf_dir):
@@ -552,9 +575,9 @@ def _orders(spark: SparkSession, sf_dir: str, condition: str | None = None) -> D
     return orders if condition is None else orders.filter(condition)
 
 
-def _as_topic_rows(orders: DataFrame) -> DataFrame:
+def _as_topic_rows(orders: DataFrame, *beside: Column) -> DataFrame:
     """Orders as framed topic rows, at the position of their line."""
-    return as_messages(orders, F.col("line_number"), F.col("order_key"), F.col("order_timestamp"))
+    return as_messages(orders, F.col("line_number"), F.col("order_key"), F.col("order_timestamp"), *beside)
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -787,22 +810,23 @@ def stream_compaction(spark, sf_dir):
     """Several micro-batches, compacted; a restart takes new rows; all is replayed and compacted again."""
     base = scratch_dir(spark, "stream")
     bronze = f"{base}/bronze"
+    orders = order_view(spark, sf_dir, [*STREAMED, "line_status"], amount="double", tasks=5)
+    _stage_arrivals(_as_topic_rows(orders, F.expr(FIRST_OR_LATER)), f"{base}/staged")
 
-    def run(checkpoint: str, condition: str | None = None, compact_every: int | None = None) -> None:
-        if condition is not None:
-            spread = _as_topic_rows(_orders(spark, sf_dir, condition).repartition(5, "order_id"))
-            spread.write.mode("append").parquet(f"{base}/topic")
+    def run(checkpoint: str, arrival: int | None = None, compact_every: int | None = None) -> None:
+        if arrival is not None:
+            _arrive(spark, f"{base}/staged", arrival, f"{base}/topic", nested=False)
         jobs.topic_to_bronze(read_topic_files(spark, f"{base}/topic", max_files=2), bronze, f"{base}/{checkpoint}",
                              compact_every=compact_every)
 
     def files() -> int:
         return len(read_bronze_stream(spark, bronze).inputFiles())
 
-    run("checkpoint", BATCHES[0])
+    run("checkpoint", arrival=0)
     before = files()
     run("checkpoint", compact_every=10)
     fewer = files() < before
-    run("checkpoint", BATCHES[1])
+    run("checkpoint", arrival=1)
     run("fresh-checkpoint")
     before = files()
     compact_bronze(spark, bronze, schema=BRONZE_STREAM)

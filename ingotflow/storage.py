@@ -95,6 +95,18 @@ def size_of(spark: SparkSession, path: str) -> int:
     return hadoop_path.getFileSystem(_hadoop_conf(spark)).getContentSummary(hadoop_path).getLength()
 
 
+def count_files(spark: SparkSession, path: str) -> int:
+    """How many data files lie in a directory."""
+    hadoop_path = _path(spark, path)
+    names = [s.getPath().getName() for s in hadoop_path.getFileSystem(_hadoop_conf(spark)).listStatus(hadoop_path)]
+    return sum(not name.startswith(("_", ".")) for name in names)
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    hadoop_path = _path(spark, path)
+    hadoop_path.getFileSystem(_hadoop_conf(spark)).mkdirs(hadoop_path)
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     hadoop_path = _path(spark, path)
     hadoop_path.getFileSystem(_hadoop_conf(spark)).delete(hadoop_path, True)

@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import uuid
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from datetime import date
 from typing import NamedTuple
 
@@ -29,12 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingotflow import storage
+from ingotflow.session import setting
+from ingotflow.snapshots import ALONE_BYTES, ALONE_JOBS, CODEC, MAX_OPEN_FILES, OPEN_FILES
 
 INGESTION_DATE = "ingestion_date"
 GENERATION = "gen"
 BATCH = "batch"
 DRAFT = "_compact-"
 SMALL_BYTES = 64 * 1024 * 1024
+#: Estimated bytes from which a micro-batch is written by the tasks that read it; ``SMALL_BYTES`` bounds their splits.
+LARGE_BATCH_BYTES = 8 * 1024 * 1024
 
 
 class Piece(NamedTuple):
@@ -62,17 +68,27 @@ def write_batch_by_date(df: DataFrame, query_id: str, batch_id: int, path: str,
                         optimize_write: bool = True) -> None:
     """Write one micro-batch, in place of any earlier attempt at it.
 
-    ``optimize_write`` lets adaptive execution choose few, evenly sized files, for one shuffle of the batch.
+    ``optimize_write`` lets adaptive execution choose few, evenly sized files, for one shuffle of the batch. A
+    batch known to be large is not shuffled: the splits of its scan size its files.
     """
-    if storage.exists(df.sparkSession, f"{path}/{GENERATION}={query_id}/{BATCH}={batch_id}/_SUCCESS"):
+    spark = df.sparkSession
+    if storage.exists(spark, f"{path}/{GENERATION}={query_id}/{BATCH}={batch_id}/_SUCCESS"):
         return  # finished, but not committed, in the older layout
     located = df.withColumns({GENERATION: F.lit(query_id), BATCH: F.lit(str(batch_id))})
-    sized = located.hint("rebalance", INGESTION_DATE) if optimize_write else located
-    (sized.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("compression", "zstd")
-     .partitionBy(INGESTION_DATE, GENERATION, BATCH)
-     .parquet(path))
+    rebalance = optimize_write and not is_large(df)
+    sized = located.hint("rebalance", INGESTION_DATE) if rebalance else located
+    with nullcontext() if rebalance else setting(spark, OPEN_FILES, MAX_OPEN_FILES):
+        (sized.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .option("compression", CODEC)
+         .partitionBy(INGESTION_DATE, GENERATION, BATCH)
+         .parquet(path))
+
+
+def is_large(batch: DataFrame) -> bool:
+    """Whether the planner knows that a micro-batch is large; of some sources it knows nothing."""
+    unknown = batch.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    return LARGE_BATCH_BYTES <= batch._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < unknown
 
 
 def _values(spark: SparkSession, path: str, column: str) -> list[str]:
@@ -125,11 +141,19 @@ def _scan(spark: SparkSession, path: str, schema: T.StructType, paths: list[str]
     return df if located else df.select(*schema.names)
 
 
+def _is_small(spark: SparkSession, path: str, piece: Piece, small_bytes: int) -> bool:
+    """Whether a directory, or a micro-batch's average file, is small; compacted files are sized already."""
+    directory = f"{path}/{piece.directory}"
+    size = storage.size_of(spark, directory)
+    return size < small_bytes or (piece.first == piece.last
+                                  and size < small_bytes * storage.count_files(spark, directory))
+
+
 def _runs(spark: SparkSession, path: str, pieces: list[Piece], small_bytes: int) -> list[list[Piece]]:
     """Neighbouring small directories of one date and query, two at least."""
     runs, run = [], []
     for piece in [*pieces, None]:
-        if piece is not None and storage.size_of(spark, f"{path}/{piece.directory}") < small_bytes:
+        if piece is not None and _is_small(spark, path, piece, small_bytes):
             run.append(piece)
             continue
         if len(run) > 1:
@@ -140,9 +164,10 @@ def _runs(spark: SparkSession, path: str, pieces: list[Piece], small_bytes: int)
 
 def compact_batches(spark: SparkSession, path: str, schema: T.StructType,
                     small_bytes: int = SMALL_BYTES) -> int:
-    """Join small directories of settled batches; how many directories were replaced.
+    """Join small directories, and batches of small files, that are settled; how many directories were replaced.
 
-    One job rewrites what is small. A directory large enough is never picked again, so repeated
+    Each large one is rewritten in a job of its own, by the splits of its scan; only the smallest share a shuffle
+    that sizes their files. A compacted directory large enough is never picked again, so repeated
     runs cost what is new. One compaction at a time; streams may write and readers read meanwhile.
     """
     found = list_pieces(spark, path)
@@ -164,6 +189,29 @@ def compact_batches(spark: SparkSession, path: str, schema: T.StructType,
         return 0
 
     draft = f"{path}/{DRAFT}{uuid.uuid4().hex}"
+    paths_of = {target: [f"{path}/{p.directory}" for p in run] for target, run in joined.items()}
+    bytes_of = {target: sum(storage.size_of(spark, p) for p in paths) for target, paths in paths_of.items()}
+    alone = [target for target in joined if bytes_of[target] >= min(ALONE_BYTES, 2 * small_bytes)]
+    together = {target: run for target, run in joined.items() if target not in alone}
+
+    def rewrite(target: Piece) -> None:  # its scan's tasks are sized already: each joins many files
+        (_scan(spark, path, schema, paths_of[target]).drop(INGESTION_DATE)
+         .coalesce(max(1, bytes_of[target] // small_bytes))
+         .write.option("compression", CODEC).parquet(f"{draft}/{target.directory}"))
+
+    with ThreadPoolExecutor(ALONE_JOBS) as jobs:
+        list(jobs.map(rewrite, alone))
+    if together:
+        _rewrite_together(spark, path, schema, together, draft)
+    for target in joined:
+        if storage.exists(spark, f"{draft}/{target.directory}"):  # no rows, no directory
+            storage.move(spark, f"{draft}/{target.directory}", f"{path}/{target.directory}")
+    storage.delete_tree(spark, draft)
+    return sum(map(len, joined.values()))
+
+
+def _rewrite_together(spark: SparkSession, path: str, schema: T.StructType, joined: dict[Piece, list[Piece]],
+                      draft: str) -> None:
     targets = spark.createDataFrame(
         [(date.fromisoformat(p.date), p.generation, p.batch, target.batch)
          for target, run in joined.items() for p in run],
@@ -171,13 +219,8 @@ def compact_batches(spark: SparkSession, path: str, schema: T.StructType,
                       T.StructField("_batch", T.StringType()), T.StructField("_target", T.StringType())]))
     paths = [f"{path}/{p.directory}" for run in joined.values() for p in run]
     rows = _scan(spark, path, schema, paths, located=True)
-    (rows.join(targets, (F.col(INGESTION_DATE) == F.col("_date")) & (F.col(GENERATION) == F.col("_gen"))
+    (rows.join(F.broadcast(targets), (F.col(INGESTION_DATE) == F.col("_date")) & (F.col(GENERATION) == F.col("_gen"))
                & (F.col(BATCH) == F.col("_batch")))
      .select(*schema.names, GENERATION, F.col("_target").alias(BATCH))
      .hint("rebalance", INGESTION_DATE, GENERATION, BATCH)
-     .write.option("compression", "zstd").partitionBy(INGESTION_DATE, GENERATION, BATCH).parquet(draft))
-    for target in joined:
-        if storage.exists(spark, f"{draft}/{target.directory}"):  # no rows, no directory
-            storage.move(spark, f"{draft}/{target.directory}", f"{path}/{target.directory}")
-    storage.delete_tree(spark, draft)
-    return sum(map(len, joined.values()))
+     .write.mode("append").option("compression", CODEC).partitionBy(INGESTION_DATE, GENERATION, BATCH).parquet(draft))

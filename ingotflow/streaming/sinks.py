@@ -20,14 +20,17 @@ from pyspark.sql.streaming import StreamingQuery
 from ingotflow import storage
 from ingotflow.functions.columns import HOUR_BUCKET, hour_bucket
 from ingotflow.schemas import EVENT_COLUMNS
+from ingotflow.session import setting
 from ingotflow.streaming.batches import (
     BATCH,
     GENERATION,
+    SMALL_BYTES,
     compact_batches,
     write_batch_by_date,
 )
 
 FLUSH_ROWS = 10_000
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def current_query_id(df: DataFrame) -> str:
@@ -70,14 +73,20 @@ def start_bronze(df: DataFrame, path: str, checkpoint: str, processing_time: str
     """Append records with ingest metadata to bronze, by ``ingestion_date``.
 
     Without ``processing_time`` the query takes all available data in rate-limited micro-batches
-    and stops. ``compact_every`` joins the small files of settled batches after each so many.
+    and stops. ``compact_every`` joins the small files of settled batches after each so many. With
+    ``optimize_write`` a task reads at most ``SMALL_BYTES`` of files, since large batches are not shuffled.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch_by_date(batch, current_query_id(batch), batch_id, path, optimize_write)
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact_batches(batch.sparkSession, path, batch.schema)
 
-    return _start(df, write, checkpoint, processing_time)
+    spark = df.sparkSession
+    if not optimize_write:
+        return _start(df, write, checkpoint, processing_time)
+    # the query keeps the settings it starts with
+    with setting(spark, SPLIT_BYTES, min(SMALL_BYTES, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())):
+        return _start(df, write, checkpoint, processing_time)
 
 
 def with_hour_bucket(df: DataFrame, timestamp: str = "_kafka_timestamp") -> DataFrame:

@@ -157,3 +157,54 @@ def test_files_profile_has_snapshots_and_batches(spark, base, events):
     assert ids(read_bronze_file(spark, f"{base}/bronze", date(2999, 1, 1))) == []
     run = jobs.bronze_to_silver(spark, f"{base}/bronze", f"{base}/silver", since=date(2020, 1, 1))
     assert run.merge.inserted == 2
+
+
+def shuffles(spark, action):
+    """The tables written by ``action`` whose rows were shuffled."""
+    plans, original = [], batches.DataFrame.hint
+    batches.DataFrame.hint = lambda self, name, *args: plans.append(name) or original(self, name, *args)
+    try:
+        action()
+    finally:
+        batches.DataFrame.hint = original
+    return plans
+
+
+def large_batches(spark, base, events, monkeypatch):
+    monkeypatch.setattr(batches, "LARGE_BATCH_BYTES", 1)
+    rows = events(*[{"order_id": str(i)} for i in range(200)])
+    for n in range(4):
+        messages(rows).repartition(3).write.mode("append").parquet(f"{base}/topic/{n}")
+    path = f"{base}/bronze"
+    for n in range(4):
+        records = add_stream_metadata(parse_messages(spark.read.parquet(f"{base}/topic/{n}")))
+        day = records.withColumn("ingestion_date", F.lit(date(2024, 1, 1)))
+        day = day.repartition(3)
+        write(spark, path, day, "g", n)
+    return path
+
+
+def test_large_batches_are_not_shuffled(spark, base, events, monkeypatch):
+    moved = shuffles(spark, lambda: large_batches(spark, base, events, monkeypatch))
+    assert "rebalance" not in moved
+
+
+def test_size_of_a_batch(spark, base, events):
+    events({"order_id": "A"}).write.parquet(f"{base}/rows")
+    assert not batches.is_large(spark.read.parquet(f"{base}/rows"))
+    assert batches.is_large(spark.range(1 << 24))
+    assert not batches.is_large(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "n int"))  # size unknown
+
+
+def test_large_batches_of_small_files_are_joined(spark, base, events, monkeypatch):
+    path = large_batches(spark, base, events, monkeypatch)
+    before = sorted(map(tuple, read_bronze_stream(spark, path).collect()), key=str)
+    files = len(read_bronze_stream(spark, path).inputFiles())
+    size = min(storage.size_of(spark, f"{path}/{p.directory}") for p in batches.list_pieces(spark, path))
+    monkeypatch.setattr(batches, "ALONE_BYTES", 1)
+    small = size // 2  # less than a directory, more than a file of it
+    moved = shuffles(spark, lambda: batches.compact_batches(spark, path, BRONZE_STREAM, small))
+    assert not moved and len(batches.live(batches.list_pieces(spark, path))) == 2
+    assert len(read_bronze_stream(spark, path).inputFiles()) < files == 12
+    assert sorted(map(tuple, read_bronze_stream(spark, path).collect()), key=str) == before
+    assert batches.compact_batches(spark, path, BRONZE_STREAM, small) == 0  # sized already

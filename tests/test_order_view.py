@@ -79,3 +79,26 @@ def test_partitions_follow_the_lines(spark, tables, shuffled_joins, monkeypatch)
     monkeypatch.setattr(view, "BYTES_PER_PARTITION", 100)
     view.order_view(spark, tables)
     assert int(spark.conf.get(setting)) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_tasks_join_their_partitions_in_turn(spark, tables, shuffled_joins):
+    df = view.order_view(spark, tables, tasks=3)
+    assert len(moves(df, "l_orderkey#")) == 1 and df.rdd.getNumPartitions() == 3
+    key = F.concat_ws("|", *EVENT_COLUMNS)
+    assert sorted(df.select(key).collect()) == sorted(view.order_view(spark, tables).select(key).collect())
+
+
+def test_arrivals_are_written_in_one_pass(spark, tables, base):
+    rows = view.order_view(spark, tables, ["order_id", "line_status"]).selectExpr("order_id", queries.FIRST_OR_LATER)
+    want = {n: sorted(rows.where(f"arrival = {n}").select("order_id").collect()) for n in (0, 1)}
+    queries._stage_arrivals(rows, f"{base}/staged", 10)
+    for folder, nested in (("landing", True), ("topic", False)):
+        if folder == "topic":
+            queries._stage_arrivals(rows, f"{base}/staged-topic")
+        staged = f"{base}/staged" if nested else f"{base}/staged-topic"
+        for n in (0, 1):
+            queries._arrive(spark, staged, n, f"{base}/{folder}", nested)
+            read = spark.read.schema("order_id string").option("recursiveFileLookup", "true").parquet(f"{base}/{folder}")
+            assert sorted(read.collect()) == sorted(sum([want[k] for k in range(n + 1)], []))
+    queries._arrive(spark, f"{base}/nothing", 0, f"{base}/empty", True)
+    assert spark.read.schema("order_id string").parquet(f"{base}/empty").count() == 0
