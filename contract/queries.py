@@ -466,7 +466,7 @@ def _landed(spark: SparkSession, sf_dir: str, amount: str = "double") -> str:
 
 def _land(orders: DataFrame, path: str) -> None:
     """Landed files hold at most one flush of rows, as those of the stream do."""
-    orders.write.mode("append").option("maxRecordsPerFile", FLUSH_ROWS).parquet(path)
+    orders.write.mode("append").option("maxRecordsPerFile", FLUSH_ROWS).option("compression", "zstd").parquet(path)
 
 
 def _stage_arrivals(rows: DataFrame, path: str, max_records: int = 0) -> None:
@@ -897,10 +897,10 @@ def _gold(spark: SparkSession, silver: str, base: str) -> None:
 
 def _file_silver(spark: SparkSession, sf_dir: str, base: str) -> str:
     """Two arrivals of landed files, each taken through bronze into silver."""
-    for condition in BATCHES:
-        arrived = order_view(spark, sf_dir, [*EVENT_COLUMNS, "line_status"], amount="double")
-        _land(arrived.filter(condition).drop("line_status"),
-              f"{base}/landing")
+    rows = order_view(spark, sf_dir, [*EVENT_COLUMNS, "line_status"], amount="double")
+    _stage_arrivals(rows.selectExpr(*EVENT_COLUMNS, FIRST_OR_LATER), f"{base}/staged", FLUSH_ROWS)
+    for number in range(len(BATCHES)):
+        _arrive(spark, f"{base}/staged", number, f"{base}/landing", nested=True)
         jobs.landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze")
         jobs.bronze_to_silver(spark, f"{base}/bronze", f"{base}/silver", "file")
     return f"{base}/silver"

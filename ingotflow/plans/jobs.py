@@ -32,7 +32,7 @@ from ingotflow.session import setting
 from ingotflow.sinks.bronze import append_bronze, compact_bronze
 from ingotflow.sinks.catalog import create_databases, register_silver
 from ingotflow.sinks.gold import build_table
-from ingotflow.snapshots import MergeResult, SnapshotTable
+from ingotflow.snapshots import SMALL_FILE_BYTES, MergeResult, SnapshotTable
 from ingotflow.sources.landing import ANY_AGE, read_landing, read_landing_stream
 from ingotflow.sources.tables import (
     read_bronze_file,
@@ -92,9 +92,15 @@ def topic_to_bronze(messages: DataFrame, bronze: str, checkpoint: str,
 
 def landing_to_bronze(spark: SparkSession, landing: str, bronze: str,
                       batch_id: str | None = None, compact: bool = True) -> str:
-    """Append every landed file to bronze again, then compact. Returns the batch id."""
+    """Append every landed file to bronze again, then compact. Returns the batch id.
+
+    What would be compacted at once is written by as few tasks in the first place, if these are not fewer
+    than the task slots.
+    """
     batch_id = batch_id or str(uuid.uuid4())
-    append_bronze(add_file_metadata(read_landing(spark, landing), batch_id), bronze)
+    tasks = storage.size_of(spark, landing) // SMALL_FILE_BYTES if compact else 0
+    append_bronze(add_file_metadata(read_landing(spark, landing), batch_id), bronze,
+                  tasks=tasks if tasks >= spark.sparkContext.defaultParallelism else None)
     if compact:
         compact_bronze(spark, bronze)
     return batch_id

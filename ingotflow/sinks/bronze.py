@@ -11,13 +11,15 @@ from ingotflow.sources.tables import bronze_table
 from ingotflow.streaming.batches import compact_batches
 
 
-def append_bronze(df: DataFrame, path: str, optimize_write: bool = False) -> Snapshot:
+def append_bronze(df: DataFrame, path: str, optimize_write: bool = False, tasks: int | None = None) -> Snapshot:
     """Append records with file metadata, by ``ingestion_date``.
 
     A batch has one ingestion date and its tasks are sized by the scan, so sizing the files by a
-    shuffle is off by default; ``compact_bronze`` joins whatever came out small.
+    shuffle is off by default; ``compact_bronze`` joins whatever came out small. ``tasks`` are so many that
+    nothing comes out small.
     """
-    return bronze_table(df.sparkSession, path).append(df, rebalance=optimize_write)
+    rows = df.coalesce(tasks) if tasks else df
+    return bronze_table(df.sparkSession, path).append(rows, rebalance=optimize_write, sized=bool(tasks))
 
 
 def compact_bronze(spark: SparkSession, path: str, small_file_bytes: int = SMALL_FILE_BYTES,

@@ -57,7 +57,7 @@ class Piece(NamedTuple):
     write: str
     files: int
     bytes: int
-    sized: bool  # its files were sized by adaptive execution
+    sized: bool  # its files were sized by adaptive execution or by as few tasks
 
 
 @dataclass(frozen=True)
@@ -151,17 +151,18 @@ class SnapshotTable:
 
     # -- writes ------------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, rebalance: bool = True) -> dict[str, Piece]:
+    def _write(self, df: DataFrame, rebalance: bool = True, sized: bool = False) -> dict[str, Piece]:
         """Write rows to a directory of their own; the pieces they became.
 
         ``rebalance`` lets adaptive execution size the files per partition and split hot ones,
-        for one shuffle of the rows. Without it every task writes its own files.
+        for one shuffle of the rows. Without it every task writes its own files; ``sized`` says that the
+        tasks are those that a compaction would have.
         """
         write = uuid.uuid4().hex
-        sized = df.hint("rebalance", self.partition) if rebalance else df
+        rows = df.hint("rebalance", self.partition) if rebalance else df
         target = f"{self._data}/{WRITE}={write}"
-        sized.write.option("compression", CODEC).partitionBy(self.partition).parquet(target)
-        return {p: Piece(write, *sizes, rebalance)
+        rows.write.option("compression", CODEC).partitionBy(self.partition).parquet(target)
+        return {p: Piece(write, *sizes, rebalance or sized)
                 for p, sizes in storage.files_and_bytes(self.spark, target).items()}
 
     def overwrite(self, df: DataFrame, unique_key: str | None = None) -> Snapshot:
@@ -172,15 +173,15 @@ class SnapshotTable:
             versions[-1] + 1 if versions else 0, _nullable(df.schema),
             {p: [piece] for p, piece in written.items()}, unique_key))
 
-    def append(self, df: DataFrame, rebalance: bool = False) -> Snapshot:
-        """Add rows; creates the table when there is none."""
+    def append(self, df: DataFrame, rebalance: bool = False, sized: bool = False) -> Snapshot:
+        """Add rows; creates the table when there is none. ``rebalance`` and ``sized`` are those of ``_write``."""
         versions = self.versions()
         if versions:
             current = self.snapshot(versions[-1])
             require_same_columns(self._scan(current.schema, {}), df)
         else:
             current = Snapshot(-1, _nullable(df.schema), {})
-        written = self._write(df.select(*current.schema.names), rebalance)
+        written = self._write(df.select(*current.schema.names), rebalance, sized)
         return self._publish(replace(
             current, version=current.version + 1, unique_key=None, keys=None,
             pieces=_joined(current.pieces, {p: [piece] for p, piece in written.items()})))

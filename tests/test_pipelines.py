@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from contract.framing import as_messages
+from ingotflow import storage
 from ingotflow.operators.enrich import parse_messages
 from ingotflow.plans import cli, jobs
 from ingotflow.schemas import BRONZE_STREAM, EVENT_COLUMNS, KAFKA_ROW
 from ingotflow.sources.landing import read_landing
-from ingotflow.sources.tables import read_bronze_file, read_bronze_stream, silver_table
+from ingotflow.sources.tables import bronze_table, read_bronze_file, read_bronze_stream, silver_table
 from ingotflow.sources.topic import read_topic_files, topic_options
 from ingotflow.streaming.sinks import start_landing
 
@@ -224,3 +225,14 @@ def test_command_line_arguments(monkeypatch):
     assert (args.topic, args.max_offsets, args.max_records_per_file) == ("orders.raw", 10_000, 10_000)
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["silver-to-gold", "--silver", "s"])
+
+
+def test_large_landings_are_appended_in_compacted_files(spark, base, events, monkeypatch):
+    events(*[{"order_id": str(i)} for i in range(400)]).repartition(20).write.parquet(f"{base}/landing")
+    size = storage.size_of(spark, f"{base}/landing")
+    monkeypatch.setattr(jobs, "SMALL_FILE_BYTES", size // 5)
+    jobs.landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze")
+    table = bronze_table(spark, f"{base}/bronze")
+    (piece,), = table.snapshot().pieces.values()
+    assert piece.files <= 5 and piece.sized and table.versions() == [0]  # nothing was left to compact
+    assert ids(read_bronze_file(spark, f"{base}/bronze")) == sorted(map(str, range(400)))
